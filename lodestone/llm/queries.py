@@ -11,13 +11,23 @@ from .fingerprints import fingerprint_report
 from .html import extract
 from .language import language_report
 from .licenses import license_report
+from .mixing import ORACLE as MIX_ORACLE
+from .mixing import mix_report
+from .near_duplicates import classes
+from .neighbours import search
+from .packing import packed
 from .secrets import secret_report
+from .sharding import shard_report
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_report(table(spark, sf_dir, "documents"))
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
@@ -30,12 +40,28 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_report(table(spark, sf_dir, "documents"))
 
 
+def op6_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_report(table(spark, sf_dir, "documents"))
+
+
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_report(table(spark, sf_dir, "documents"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classes(table(spark, sf_dir, "documents"))
+
+
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_fingerprints, op3_html_extraction, op4_license_scan, op5_language_id, op8_secret_scan)
+    f.__name__: f for f in (op1_fingerprints, op2_best_fit_packing, op3_html_extraction, op4_license_scan, op5_language_id, op6_hilbert_sharding, op7_source_mixing, op8_secret_scan, op9_near_duplicates, op10_nearest_neighbours)
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op7_source_mixing": MIX_ORACLE}
