@@ -65,11 +65,12 @@ def mix_report(docs: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of docs, each as often as the mix takes it."""
     sized = docs.select(docs[source_col].cast("string").alias("source"), word_count(docs[text_col]).alias("size"))
-    t = targets(sized.groupBy("source").agg(F.sum("size").alias("size"))).select(F.struct("source", "source_size", "target").alias("_t"))
-    names = docs.columns
-    joined = docs.join(t, docs[source_col].cast("string").eqNullSafe(F.col("_t.source")))
-    n = copies(docs[id_col], F.col("_t.target"), F.col("_t.source_size"))
-    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), n.cast("int")))).select(*(docs[c] for c in names))
+    t = targets(sized.groupBy("source").agg(F.sum("size").alias("size")))
+    # a row travels as one struct, so that its columns' names can't clash with these
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[source_col].cast("string").alias("of"), docs[id_col].alias("id"))
+    joined = rows.join(t, F.col("of").eqNullSafe(F.col("source")))
+    n = copies(F.col("id"), F.col("target"), F.col("source_size"))
+    return joined.select("row", F.explode(F.array_repeat(F.lit(1), n.cast("int")))).select("row.*")
 
 
 ORACLE = r"""

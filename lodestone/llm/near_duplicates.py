@@ -275,7 +275,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """The rows of docs whose id names their class, one of rows that repeat one. Rows with a null id stay."""
     named = written(classes(docs, id_col, text_col), "named")
     kept = named.where(F.col(id_col) == F.col("class_id")).select(F.col(id_col).alias("_kept")).distinct()
-    stay = docs.join(kept, docs[id_col].cast("long") == F.col("_kept"), "left_semi")
+    stay = docs.join(kept, docs[id_col].cast("long") == kept["_kept"], "left_semi")
     if named.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").isEmpty():
         once = stay
     else:

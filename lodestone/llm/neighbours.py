@@ -29,6 +29,7 @@ from .common import schemas, written
 
 SAMPLE = 20_000  # vectors, about, that the lists, the number of probes and the first radius are fitted on
 BLOCK = 2_048  # vectors, about, in a block of a list
+RADIUS = 3  # a query's first radius reaches to its (3 k)-th nearest of the sample
 QUERY_BLOCK = 512  # queries, about, in a block
 COLUMNS = 16  # coordinates read between two tests
 EPSILON = 2.1  # of the hypothesis test: larger abandons less
@@ -187,7 +188,8 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_
                 # farther lists are probed too where the near ones hold too few rows
                 n = max(lists.probes, int(np.searchsorted(np.cumsum(held[order]), k + 1)) + 1)
                 s = bound_norms - 2 * (lists.bound @ q[i])
-                radius = (float(np.partition(s, k)[k]) + float(q[i] @ q[i])) * (1 + 1e-6) + 1e-9 if len(s) > k else float("inf")  # the query itself may be among them
+                far = min(RADIUS * k, len(s) - 1)
+                radius = (float(np.partition(s, far)[far]) + float(q[i] @ q[i])) * (1 + 1e-6) + 1e-9 if far >= k else float("inf")  # the query itself may be among them
                 for c in order[:n]:
                     if held[c]:
                         ids.append(batch.column(0)[i].as_py())
@@ -202,10 +204,11 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_
     query_counts = {r["list"]: r["n"] for r in asked.groupBy("list").agg(F.count("*").alias("n")).collect()}
     query_blocks = {c: -(-n // QUERY_BLOCK) for c, n in query_counts.items()}
     as_map = lambda m: F.create_map(*[F.lit(x) for c, n in sorted(m.items()) for x in (c, n)])
-    n_blocks, n_query_blocks = F.element_at(as_map(blocks), F.col("list")), F.coalesce(F.element_at(as_map(query_blocks), F.col("list")), F.lit(0)) if query_blocks else F.lit(0)
+    if not query_blocks:
+        return spark.createDataFrame([], final)
+    n_blocks, n_query_blocks = F.element_at(as_map(blocks), F.col("list")), F.coalesce(F.try_element_at(as_map(query_blocks), F.col("list")), F.lit(0))
     to = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    left = indexed.where(n_query_blocks > 0).withColumn("block", F.pmod(F.xxhash64("vec_id"), n_blocks).cast("int")).withColumn("query_block", to(n_query_blocks))
-    right = asked.withColumn("query_block", F.pmod(F.xxhash64("query_id"), n_query_blocks).cast("int")).withColumn("block", to(n_blocks))
+    keys = ["list", "block", "query_block"]
 
     def cell(base: pa.Table, asks: pa.Table) -> pa.Table:
         got: list[tuple[int, int, float]] = []
@@ -216,7 +219,17 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_
             got = [(int(own[i]), int(ids[j]), s) for i, j, s in found]
         return pa.Table.from_arrays([pa.array(list(c), kind.type) for c, kind in zip(zip(*got, strict=True) if got else ([], [], []), kinds, strict=True)], schema=kinds)
 
-    keys = ["list", "block", "query_block"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(cell, out)
-    nearest = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    def scanned(asks: DataFrame) -> DataFrame:
+        left = indexed.where(n_query_blocks > 0).withColumn("block", F.pmod(F.xxhash64("vec_id"), n_blocks).cast("int")).withColumn("query_block", to(n_query_blocks))
+        right = asks.withColumn("query_block", F.pmod(F.xxhash64("query_id"), n_query_blocks).cast("int")).withColumn("block", to(n_blocks))
+        found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(cell, out)
+        nearest = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        return written(found.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), "nearest")
+
+    nearest = scanned(asked)
+    short = asked.join(nearest.where(F.col("rank") == k).select("query_id"), "query_id", "left_anti")
+    if short.isEmpty():
+        return nearest
+    # queries with fewer than k rows within the first radius look again without one
+    again = scanned(short.withColumn("radius2", F.lit(float("inf"))))
+    return nearest.join(short.select("query_id").distinct(), "query_id", "left_anti").unionByName(again)
