@@ -8,6 +8,7 @@ from urllib.parse import parse_qsl, urlencode
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Query keys that only track.
 TRACKING = ("utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "utm_id", "gclid", "fbclid")
@@ -19,7 +20,7 @@ def part(url: Column, group: int) -> Column:
     return F.regexp_extract(F.regexp_replace(url, r"^\s+|\s+$", ""), PARTS, group)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def quoted_query(query: pd.Series) -> pd.Series:
     """Queries with escapes: decoded, filtered and encoded again."""
     return query.map(lambda q: urlencode([(k, v) for k, v in parse_qsl(q, keep_blank_values=True) if k not in TRACKING and v != ""]))

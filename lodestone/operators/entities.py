@@ -186,5 +186,5 @@ def ensemble_mentions(chunks: DataFrame, rules: EntityRules = EntityRules(), rec
 
 def type_counts(mentions: DataFrame, chunks: DataFrame) -> DataFrame:
     """For each chunk the number of mentions of each of the five types, zeros included."""
-    counts = mentions.groupBy("chunk_id").pivot("entity_type", list(ENTITY_TYPES)).agg(F.count("*"))
+    counts = mentions.groupBy("chunk_id").pivot("entity_type", list(ENTITY_TYPES)).agg(F.count("entity_id"))
     return chunks.select("chunk_id").join(counts, "chunk_id", "left").na.fill(0, list(ENTITY_TYPES))

@@ -7,6 +7,7 @@ import io
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions import ids
 from ..schemas import CATALOG
@@ -37,7 +38,7 @@ def vector_sidecar(spark: SparkSession, path: str) -> DataFrame:
     return v.where(F.col("canonical_entity_key").isNotNull() & F.col("tokens").isNotNull())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def pdf_text(content: pd.Series) -> pd.Series:
     """Text of a PDF's pages, blank ones left out, joined by line ends; needs the optional pypdf."""
     from pypdf import PdfReader

@@ -9,6 +9,7 @@ from urllib.parse import urljoin
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from ..functions import text, urls
 from ..operators.acquisition import merge_by_string
@@ -80,7 +81,7 @@ class Article(HTMLParser):
             self.out.append(words)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def raw_article(html: pd.Series) -> pd.Series:
     def one(page: str | None) -> str:
         parser = Article()
@@ -129,7 +130,7 @@ class Anchors(HTMLParser):
 def listing_udf(base: str, is_detail: Callable[[str], bool], card: str = "card__wrapper", title: str = "card__title"):
     """A page's detail URLs: of each card the first, its title's before others; of all anchors where there is no card."""
 
-    @F.pandas_udf("array<string>")
+    @F.pandas_udf(ArrayType(StringType()))
     def found(html: pd.Series) -> pd.Series:
         def one(page: str | None) -> list[str]:
             parser = Anchors(card)
@@ -148,7 +149,7 @@ def listing_udf(base: str, is_detail: Callable[[str], bool], card: str = "card__
     return found
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def pdf_links(url: pd.Series, html: pd.Series) -> pd.Series:
     """Absolute PDF links, those whose text says "full report" first, each once."""
     from urllib.parse import urlparse
