@@ -31,6 +31,7 @@ SAMPLE = 20_000  # vectors, about, that the lists, the number of probes and the
 BLOCK = 2_048  # vectors, about, in a block of a list
 RADIUS = 3  # a query's first radius reaches to its (3 k)-th nearest of the sample
 QUERY_BLOCK = 512  # queries, about, in a block
+SCANNED = 128  # queries scanned together
 COLUMNS = 16  # coordinates read between two tests
 EPSILON = 2.1  # of the hypothesis test: larger abandons less
 
@@ -103,43 +104,43 @@ class Lists:
         return int(np.quantile(np.concatenate(places), recall, method="higher")) + 1
 
 
-def scan(queries: np.ndarray, radius2: np.ndarray, base: np.ndarray, ids: np.ndarray, own: np.ndarray, exact_q: np.ndarray, exact_b: np.ndarray, k: int) -> Iterator[tuple[int, int, float]]:
-    """For each query the up to k nearest of base as (query, place in base, score).
+def scan(queries: np.ndarray, radius2: np.ndarray, base: np.ndarray, ids: np.ndarray, own: np.ndarray, exact_q: np.ndarray, exact_b: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each query the up to k nearest of base, as arrays (query, place in base, score).
 
-    radius2: no candidate beyond that squared distance can be among the query's k nearest over all rows.
+    radius2: no candidate beyond that squared distance can be among the query's k nearest over all rows. The first block
+    of columns is read for all pairs of a few queries with the list; who stays is a pair of its own from then on.
     """
     dims = base.shape[1]
-    step = 4 * COLUMNS
-    for i, q in enumerate(queries):
-        best = radius2[i]
-        kept_at: list[np.ndarray] = []
-        kept_d: list[np.ndarray] = []
-        for lo in range(0, len(base), step * 8):
-            at = np.arange(lo, min(len(base), lo + step * 8))
-            at = at[ids[at] != own[i]]
-            part = np.zeros(len(at))
-            for c in range(0, dims, COLUMNS):
-                gap = base[at, c : c + COLUMNS] - q[c : c + COLUMNS]
-                part += np.einsum("ij,ij->i", gap, gap)
-                d = min(c + COLUMNS, dims)
-                most = best * (d / dims) * (1 + EPSILON / math.sqrt(d)) ** 2 if d < dims else best * (1 + 1e-9) + 1e-12
-                stay = part <= most
-                at, part = at[stay], part[stay]
-                if not len(at):
-                    break
-            if len(at):
-                kept_at.append(at)
-                kept_d.append(part)
-                d = np.concatenate(kept_d)
-                if len(d) >= k:
-                    best = min(best, float(np.partition(d, k - 1)[k - 1]) * (1 + 1e-9) + 1e-12)
-        if kept_at:
-            at = np.concatenate(kept_at)
-            at = at[np.concatenate(kept_d) <= best]
-            score = exact_b[at] @ exact_q[i]
-            order = np.lexsort((ids[at], -score))[:k]
-            for j in order:
-                yield i, int(at[j]), float(score[j])
+    first = min(COLUMNS, dims)
+    base_norms = np.einsum("ij,ij->i", base[:, :first], base[:, :first])
+
+    def limit(r: np.ndarray, d: int) -> np.ndarray:
+        return r * (d / dims) * (1 + EPSILON / math.sqrt(d)) ** 2 if d < dims else r * (1 + 1e-6) + 1e-9
+
+    for lo in range(0, len(queries), SCANNED):
+        q, r, me = queries[lo : lo + SCANNED], radius2[lo : lo + SCANNED].copy(), own[lo : lo + SCANNED]
+        part = np.einsum("ij,ij->i", q[:, :first], q[:, :first])[:, None] + base_norms[None, :] - 2 * (q[:, :first] @ base[:, :first].T)
+        part[ids[None, :] == me[:, None]] = np.inf
+        if len(base) > k:  # the k nearest by the first columns bound the k-th distance
+            best = np.argpartition(part, k - 1, axis=1)[:, :k]
+            gap = base[best] - q[:, None, :]
+            whole = np.einsum("qkd,qkd->qk", gap, gap)
+            whole[np.isinf(np.take_along_axis(part, best, axis=1))] = np.inf
+            r = np.minimum(r, whole.max(axis=1) * (1 + 1e-5) + 1e-6)
+        i, j = np.nonzero(part <= limit(r, first)[:, None])
+        d = part[i, j]
+        for c in range(first, dims, COLUMNS):
+            gap = base[j, c : c + COLUMNS] - q[i, c : c + COLUMNS]
+            d = d + np.einsum("ij,ij->i", gap, gap)
+            stay = d <= limit(r, min(c + COLUMNS, dims))[i]
+            i, j, d = i[stay], j[stay], d[stay]
+        if len(i):
+            score = np.einsum("ij,ij->i", exact_q[lo + i], exact_b[j])
+            order = np.lexsort((ids[j], -score, i))
+            i, j, score = i[order], j[order], score[order]
+            start = np.searchsorted(i, i)
+            kept = np.arange(len(i)) - start < k
+            yield lo + i[kept], j[kept], score[kept]
 
 
 def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", recall: float = 0.96) -> DataFrame:
@@ -211,13 +212,14 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_
     keys = ["list", "block", "query_block"]
 
     def cell(base: pa.Table, asks: pa.Table) -> pa.Table:
-        got: list[tuple[int, int, float]] = []
+        got: list[tuple] = []
         if base.num_rows and asks.num_rows:
-            stack = lambda t, name, kind: np.stack([np.frombuffer(b, kind) for b in t.column(name).to_pylist()])
+            stack = lambda t, name, kind: np.frombuffer(b"".join(t.column(name).to_pylist()), kind).reshape(t.num_rows, -1)
             ids, own = base.column("vec_id").to_numpy(), asks.column("query_id").to_numpy()
             found = scan(stack(asks, "x", np.float32), asks.column("radius2").to_numpy() * (1 + 1e-5) + 1e-6, stack(base, "x", np.float32), ids, own, stack(asks, "v", np.float64), stack(base, "v", np.float64), k)
-            got = [(int(own[i]), int(ids[j]), s) for i, j, s in found]
-        return pa.Table.from_arrays([pa.array(list(c), kind.type) for c, kind in zip(zip(*got, strict=True) if got else ([], [], []), kinds, strict=True)], schema=kinds)
+            got = [(own[i], ids[j], s) for i, j, s in found]
+        columns = [np.concatenate(c) for c in zip(*got, strict=True)] if got else [[], [], []]
+        return pa.Table.from_arrays([pa.array(c, kind.type) for c, kind in zip(columns, kinds, strict=True)], schema=kinds)
 
     def scanned(asks: DataFrame) -> DataFrame:
         left = indexed.where(n_query_blocks > 0).withColumn("block", F.pmod(F.xxhash64("vec_id"), n_blocks).cast("int")).withColumn("query_block", to(n_query_blocks))
