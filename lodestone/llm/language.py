@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from .common import map_rows
 
 ORDERS = (2, 3, 4)
+MOST_THRESHOLD = 0.4  # a text whose score is above is never rejected
 ASCII_LETTER = re.compile("[A-Za-z]")
 #: ASCII letters in lower case; bytes of other letters as they are; the rest becomes a space.
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -137,7 +138,7 @@ def train(rows: list[tuple[str, str]], bits: int = 16, width: int = 16, epochs:
     loss = {t: -np.log(np.maximum(1e-12, softmax(z / t)[np.arange(len(kept_out)), y[kept_out]])).mean() for t in 2.0 ** np.arange(-4, 4.25, 0.25)}
     model.temperature = float(min(loss, key=loss.get))
     p = softmax(z / model.temperature)
-    model.threshold = float(min(0.5, np.quantile(p.max(axis=1), reject, method="lower")))
+    model.threshold = float(min(MOST_THRESHOLD, np.quantile(p.max(axis=1), reject, method="lower")))
     model.notes = {"kept_out": len(kept_out), "accuracy": float((p.argmax(axis=1) == y[kept_out]).mean())}
     return model
 

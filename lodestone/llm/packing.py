@@ -29,6 +29,7 @@ from .mixing import word_count
 LENGTHS = (512, 1024, 2048, 4096)
 OVERHEAD = 16  # tokens' worth of cost that each sequence has besides its length
 PER_SHARD = 20_000
+COPIES = 10_000  # of one id and size that are numbered together
 
 
 def cost_of(length: int) -> int:
@@ -96,12 +97,14 @@ def packed(docs: DataFrame, lengths: Sequence[int] = LENGTHS, per_shard: int = P
     most = lengths[-1]
     sized = docs.select(docs[id_col].cast("long").alias("doc_id"), (word_count(docs[text_col].cast("string")) + 1).alias("tokens"))
     per_id = sized.groupBy("doc_id", "tokens").agg(F.count("*").alias("copies"))
-    rows = per_id.select("doc_id", "tokens", F.posexplode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy", "_"))
+    # copies are numbered by two short sequences, so that no array grows with them
+    many = per_id.select("doc_id", "tokens", "copies", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / COPIES))).alias("part"))
+    rows = many.select("doc_id", "tokens", F.explode(F.sequence(F.col("part") * COPIES, F.least(F.col("copies"), (F.col("part") + 1) * COPIES) - 1)).alias("copy"))
     cut = rows.select("doc_id", "tokens", "copy", F.explode(F.sequence(F.lit(0), F.floor((F.col("tokens") - 1) / most).cast("int"))).alias("piece"))
     pieces = written(cut.select("doc_id", "copy", "piece", (F.col("piece").cast("long") * most).alias("start"), F.least(F.col("tokens") - F.col("piece").cast("long") * most, F.lit(most)).cast("int").alias("n_tokens")), "pieces")
     shards = max(1, -(-pieces.count() // per_shard))
     dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "copy", "piece"), F.lit(shards)).cast("long"))
-    out, kinds = schemas("doc_id long, copy int, piece int, start long, n_tokens int, bin_id string, bin_length int, bin_offset int")
+    out, kinds = schemas("doc_id long, copy long, piece int, start long, n_tokens int, bin_id string, bin_length int, bin_offset int")
 
     def one(t: pa.Table) -> pa.Table:
         sizes, ids = t.column("n_tokens").to_numpy(), t.column("doc_id").to_numpy(zero_copy_only=False)
