@@ -81,7 +81,7 @@ weighed AS (SELECT source, source_size, 2.0 * source_size::DOUBLE AS cap,
 ordered AS (SELECT *, coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0::DOUBLE) AS caps_before,
   sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS w_left, sum(source_size::DOUBLE) OVER () AS total FROM weighed),
 levels AS (SELECT *, (1.5::DOUBLE * total - caps_before) / w_left AS level FROM ordered),
-final AS (SELECT min(level) AS level FROM levels WHERE cap / w >= level),
+final AS (SELECT (SELECT level FROM levels WHERE cap / w >= level ORDER BY cap / w, source NULLS LAST LIMIT 1) AS level),
 t AS (SELECT source, source_size, CASE WHEN final.level IS NULL THEN cap ELSE least(cap, final.level * w) END AS target FROM levels CROSS JOIN final),
 rated AS (SELECT d.doc_id, d.size, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate,
   ('0x' || substr(md5('mix-1:' || coalesce(d.doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
