@@ -372,8 +372,7 @@ top AS (SELECT *, row_number() OVER (PARTITION BY mention_text, entity_type ORDE
 
 
 def asked_mentions(spark, sf):
-    m = entities.rule_mentions(corpus.chunks(spark, sf))
-    return m
+    return entities.rule_mentions(corpus.chunks(spark, sf)).persist()  # read several times by the joins that follow
 
 
 @query(RETRIEVED_SQL + " SELECT mention_text, entity_type, rank::INTEGER AS rank, canonical_entity_key, round(fused_score, 4) AS fused_score FROM top")
