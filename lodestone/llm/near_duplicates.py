@@ -39,7 +39,8 @@ SIMILARITY = 0.8
 SMALL = 16  # nodes of a bucket up to which all its pairs are compared at once
 ROUNDS = 4  # of leaders in larger buckets, at most
 FEW = 16  # pairs left for each posting, at most, for which no more leaders are tried
-OUTSIDE_BLOCK, ALL_BLOCK = 64, 512  # nodes, about, of either side of a block of the last comparison
+ONE_TASK = 20_000  # edges
+OUTSIDE_BLOCK, ALL_BLOCK = 16, 128  # nodes, about, of either side of a block of the last comparison
 _seeds = np.random.default_rng(9)
 XOR = _seeds.integers(0, 1 << 63, SKETCHES, dtype=np.uint64)
 ODD = _seeds.integers(0, 1 << 63, SKETCHES, dtype=np.uint64) * U(2) + U(1)
@@ -200,12 +201,33 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a string, b string")
 
 
+def joined_up(edges: pa.Table) -> pa.Table:
+    """The same for edges in one table, by union and find."""
+    up: dict[str, str] = {}
+
+    def top(x: str) -> str:
+        while (y := up.get(x, x)) != x:
+            up[x] = up.get(y, y)
+            x = y
+        return x
+
+    for a, b in zip(edges.column("a").to_pylist(), edges.column("b").to_pylist(), strict=True):
+        x, y = sorted((top(a), top(b)))
+        up[y] = x
+        up.setdefault(x, x)
+    found = [(x, r) for x in up if (r := top(x)) != x]
+    return pa.Table.from_arrays([pa.array([f[k] for f in found], pa.string()) for k in range(2)], ["a", "b"])
+
+
 def stars(links: DataFrame) -> DataFrame:
     """Connected components of links (a, b): each node but the smallest of its component as (a), with the smallest (b).
 
-    Alternating large and small stars; only a node's smallest neighbour is gathered, never its list of them.
+    Alternating large and small stars; only a node's smallest neighbour is gathered, never its list of them. Up to ONE_TASK
+    edges, counted first, go to one task instead.
     """
     edges = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+    if edges.count() <= ONE_TASK:
+        return written(edges.groupBy((F.length("a") < 0).alias("all")).applyInArrow(joined_up, "a string, b string"), "stars")
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -443,6 +443,21 @@ def test_classes_hold_every_similar_pair_and_no_other(docs, rows):
         assert c == d or any(got[x] == c and x != d and near_duplicates.similar(texts[x], texts[d]) for x in ids)
 
 
+def test_components(spark, monkeypatch):
+    rng = random.Random(8)
+    links = [(f"n{a:03}", f"n{b:03}") for a, b in ((rng.randrange(150), rng.randrange(150)) for _ in range(110))] + [(f"p{i:03}", f"p{i + 1:03}") for i in range(40)]
+    up: dict = {}
+    top = lambda x: x if up.get(x, x) == x else top(up[x])
+    for a, b in links:
+        x, y = sorted((top(a), top(b)))
+        up[y] = x
+    want = {(n, top(n)) for n in {x for p in links for x in p} if top(n) != n}
+    df = spark.createDataFrame(links, "a string, b string")
+    for most in (20_000, 0):  # in one task, and by stars
+        monkeypatch.setattr(near_duplicates, "ONE_TASK", most)
+        assert set(map(tuple, near_duplicates.stars(df).collect())) == want
+
+
 def test_one_large_group_and_hot_buckets(spark):
     rng = random.Random(4)
     base = [f"w{rng.randint(0, 5000)}" for _ in range(120)]
