@@ -142,3 +142,18 @@ def review_events(items: DataFrame, stored: DataFrame) -> DataFrame:
     """One event for each decision that the log doesn't hold yet."""
     e = items.select("mention_entity_id", *DECISION, event_hash(F.col("mention_entity_id"), *(F.col(c) for c in DECISION)).alias("event_hash")).dropDuplicates(["event_hash"])
     return e.join(stored.select("event_hash"), "event_hash", "left_anti").select("event_hash", "mention_entity_id", *DECISION)
+
+
+def seed_hash(catalog: DataFrame) -> DataFrame:
+    """One row: the digest of the catalog's rows as JSON, sorted by key. Rows are digested where they are; only digests meet."""
+    row = F.sha2(F.to_json(F.struct("canonical_entity_key", "canonical_name", "entity_type", "aliases"), {"ignoreNullFields": "false"}), 256)
+    parts = catalog.select("canonical_entity_key", row.alias("h")).groupBy(F.substring(F.sha2("canonical_entity_key", 256), 1, 3).alias("b"))
+    buckets = parts.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("canonical_entity_key", "h"))), lambda x: x["h"]), ""), 256).alias("h"))
+    return buckets.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("b", "h"))), lambda x: x["h"]), ""), 256).alias("seed_hash"))
+
+
+def metadata(catalog: DataFrame, version: str) -> DataFrame:
+    """key, value: catalog_version, seed_hash, row_count."""
+    n = catalog.agg(F.count("*").cast("string").alias("row_count"))
+    both = seed_hash(catalog).withColumn("k", F.lit(1)).join(n.withColumn("k", F.lit(1)), "k").withColumn("catalog_version", F.lit(version))
+    return both.select(F.explode(F.array(*(F.struct(F.lit(c).alias("key"), F.col(c).alias("value")) for c in ("catalog_version", "seed_hash", "row_count")))).alias("x")).select("x.key", "x.value")

@@ -383,3 +383,35 @@ def test_hot_paths_stay_in_the_jvm(spark):
     plan = claims.rule_claims(chunk_df(spark, "x"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
     assert ids.claim_id is not None
+
+
+def test_catalog_metadata(spark, seed):
+    m = {r["key"]: r["value"] for r in catalog.metadata(seed, "v1").collect()}
+    again = {r["key"]: r["value"] for r in catalog.metadata(seed.orderBy("canonical_name").repartition(3), "v1").collect()}
+    assert m == again and m["row_count"] == "3" and len(m["seed_hash"]) == 64
+    assert catalog.seed_hash(seed.limit(2)).first()[0] != m["seed_hash"]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from lodestone import cli
+    from lodestone.sources import artifacts
+
+    v = version(spark, "The Clean Energy Act must reduce cost. Dr Ann Lee argues it.")
+    full = v.selectExpr("source_id", "source_document_id", "'u' AS source_url", "checksum", "normalized_text")
+    full.write.json(str(tmp_path / "v"))
+    at = lambda name: str(tmp_path / name)
+    for _ in range(2):
+        assert cli.main(["chunk", "--in", at("v"), "--out", at("c")], spark) == 0
+        assert cli.main(["claims", "--in", at("c"), "--out", at("l")], spark) == 0
+        assert cli.main(["entities", "--in", at("c"), "--out", at("e")], spark) == 0
+    assert capsys.readouterr().out.splitlines() == ["1 chunks added", "1 claims added", "2 mentions added", "0 chunks added", "0 claims added", "0 mentions added"]
+    code = cli.main(["graph", "--chunks", at("c"), "--claims", at("l"), "--entities", at("e"), "--out", at("g"), "--max-anomalies", "99"], spark)
+    assert code == 0
+    g = graph.Graph(spark.read.parquet(at("g/filtered/nodes")), spark.read.parquet(at("g/filtered/edges")))
+    doc = artifacts.artifact(g, "now")
+    assert [n["type"] for n in doc["nodes"]].count("Claim") == 1 and doc["schema_version"] == "1.0.0"
+    artifacts.save(doc, at("graph.json"))
+    page = artifacts.viewer(doc)
+    assert "Clean Energy Act" in page and page.startswith("<!doctype html>")
+    with pytest.raises(ValueError, match="more than 1"):
+        artifacts.artifact(g, "now", most=1)
