@@ -40,7 +40,7 @@ SMALL = 16  # nodes of a bucket up to which all its pairs are compared at once
 ROUNDS = 4  # of leaders in larger buckets, at most
 FEW = 16  # pairs left for each posting, at most, for which no more leaders are tried
 ONE_TASK = 20_000  # edges
-OUTSIDE_BLOCK, ALL_BLOCK = 16, 128  # nodes, about, of either side of a block of the last comparison
+OUTSIDE_BLOCK, ALL_BLOCK = 64, 256  # nodes, about, of either side of a block of the last comparison
 _seeds = np.random.default_rng(9)
 XOR = _seeds.integers(0, 1 << 63, SKETCHES, dtype=np.uint64)
 ODD = _seeds.integers(0, 1 << 63, SKETCHES, dtype=np.uint64) * U(2) + U(1)
