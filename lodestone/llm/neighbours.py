@@ -120,14 +120,15 @@ def scan(queries: np.ndarray, radius2: np.ndarray, base: np.ndarray, ids: np.nda
     for lo in range(0, len(queries), SCANNED):
         q, r, me = queries[lo : lo + SCANNED], radius2[lo : lo + SCANNED].copy(), own[lo : lo + SCANNED]
         part = np.einsum("ij,ij->i", q[:, :first], q[:, :first])[:, None] + base_norms[None, :] - 2 * (q[:, :first] @ base[:, :first].T)
-        part[ids[None, :] == me[:, None]] = np.inf
+        self_ = ids[None, :] == me[:, None]
+        part[self_] = np.inf
         if len(base) > k:  # the k nearest by the first columns bound the k-th distance
             best = np.argpartition(part, k - 1, axis=1)[:, :k]
             gap = base[best] - q[:, None, :]
             whole = np.einsum("qkd,qkd->qk", gap, gap)
             whole[np.isinf(np.take_along_axis(part, best, axis=1))] = np.inf
             r = np.minimum(r, whole.max(axis=1) * (1 + 1e-5) + 1e-6)
-        i, j = np.nonzero(part <= limit(r, first)[:, None])
+        i, j = np.nonzero((part <= limit(r, first)[:, None]) & ~self_)
         d = part[i, j]
         for c in range(first, dims, COLUMNS):
             gap = base[j, c : c + COLUMNS] - q[i, c : c + COLUMNS]
