@@ -267,6 +267,21 @@ def test_language_rejects_what_has_no_letter(docs, odd):
     assert language.accepted(odd, model).columns == odd.columns
 
 
+ALPHABETS = ("abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцчшщъыьэюя", "αβγδεζηθικλμνξοπρστυφχψω", "".join(map(chr, range(0x4E00, 0x4E00 + 500))))
+
+
+def test_language_rejects_what_was_not_learnt(docs):
+    model = language.fit(docs)
+    rng = random.Random(5)
+    made_up = [" ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(n)) for letters in ALPHABETS for n in (20, 200) for _ in range(25)]
+    real = ["Сегодня утром мы пошли в лес и нашли там много грибов", "Tänään aamulla menimme metsään ja löysimme sieltä paljon sieniä", "Dziś rano poszliśmy do lasu i znaleźliśmy tam wiele grzybów"]
+    _, scores = language.predict(made_up + real, model)
+    assert max(scores) < model.threshold
+    held = [r["text"] for r in docs.where(language.held_out(docs["doc_id"])).collect() if language.has_letter(r["text"])]
+    langs, scores = language.predict(held, model)
+    assert np.mean([s >= model.threshold for s in scores]) >= 0.97
+
+
 # 6
 
 
