@@ -2,7 +2,9 @@
 
 Key-shaped strings are found by pattern (assign, access, hex); beyond them a long run of key characters is a secret
 when a byte-pair vocabulary needs many tokens for it. Prose and code take about four characters a token, random
-strings about two or less. Runs that are known digests or identifiers are excluded first.
+strings about two or less. Runs that are known digests or identifiers are excluded first. Where a run as a whole isn't
+random, its stretches of segments between separators that are random each are looked at by themselves, so that readable
+text joined to a secret doesn't hide it.
 
 Defined results: a null text counts as empty; equal rows give equal rows; a text of any length is read whole; an empty
 table gives no rows; other columns are ignored.
@@ -34,6 +36,9 @@ UUID = re.compile(rb"(?i:[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})")
 HEX_ONLY = re.compile(rb"(?i:[0-9a-f]+)")
 #: Lengths in hex digits of MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512 digests (fixed values).
 DIGEST_LENGTHS = frozenset((32, 40, 56, 64, 96, 128))
+SEGMENT = re.compile(rb"[A-Za-z0-9]+")
+ALPHABET = b"abcdefghijklmnopqrstuvwxyz" * 2
+PLAIN = 0.9  # part of the ratio that runs of letters in one case, which may be words, must stay below
 DIGIT, LETTER = re.compile(rb"[0-9]"), re.compile(rb"[A-Za-z]")
 KEY_CHARS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 
@@ -49,8 +54,40 @@ def encoder(vocabulary: str):
 
 
 def excluded(run: bytes) -> bool:
-    """Digests by their length, UUIDs, and identifiers: a name, number or path that doesn't mix letters and digits."""
-    return bool((HEX_ONLY.fullmatch(run) and len(run) in DIGEST_LENGTHS) or UUID.fullmatch(run) or not DIGIT.search(run) or not LETTER.search(run))
+    """Digests by their length, UUIDs, and identifiers: numbers, alphabets, and names or paths of segments without a digit."""
+    if HEX_ONLY.fullmatch(run) and len(run) in DIGEST_LENGTHS or UUID.fullmatch(run) or not LETTER.search(run):
+        return True
+    return not DIGIT.search(run) and (not run.isalpha() or run.lower() in ALPHABET)
+
+
+def is_random(run: bytes, least: int, ratio: float, encode) -> bool:
+    if len(run) < least or excluded(run):
+        return False
+    limit = ratio * PLAIN if run.isalpha() and (run[1:].islower() or run.isupper()) else ratio
+    return len(run) < limit * len(encode(run.decode()))
+
+
+def random_parts(core: bytes, least: int, ratio: float, encode) -> list[tuple[int, int]]:
+    """The random parts of a run: the whole, or else stretches of random segments, one of half the length at least, or else segments."""
+    if is_random(core, least, ratio, encode):
+        return [(0, len(core))]
+    uuids = [m.span() for m in UUID.finditer(core)]
+    stretches: list[list[tuple[int, int]]] = [[]]
+    for m in SEGMENT.finditer(core):
+        a, b = m.span()
+        digest = HEX_ONLY.fullmatch(m[0]) and b - a in DIGEST_LENGTHS
+        if digest or any(x < b and a < y for x, y in uuids) or b - a >= ratio * len(encode(m[0].decode())):
+            stretches.append([])
+        else:
+            stretches[-1].append((a, b))
+    found = []
+    for parts in filter(None, stretches):
+        a, b = parts[0][0], parts[-1][1]
+        if 2 * max(y - x for x, y in parts) >= least and is_random(core[a:b], least, ratio, encode):
+            found.append((a, b))
+        else:
+            found += [(x, y) for x, y in parts if is_random(core[x:y], least, ratio, encode)]
+    return found
 
 
 def key_runs(blob: bytes, least: int) -> list[tuple[int, int]]:
@@ -80,10 +117,10 @@ def scan(texts: list[str | None], vocabulary: str, least: int, ratio: float) ->
         found[i] += [(at + m.start(), 2, at + m.end()) for m in HEX.finditer(run) if m.end() - m.start() >= 32]
         left = len(run) - len(run.lstrip(b".=-/+_"))
         core = run.strip(b".=-/+_")
-        if any(a <= at + left and at + left + len(core) <= b for a, _, b in found[i]):
+        if any(a <= at + left and at + left + len(core) <= b for a, _, b in found[i]) or len(core) < least:
             continue  # a base span says so already
-        if len(core) >= least and not excluded(core) and len(core) < ratio * len(encode(core.decode())):
-            found[i].append((at + left, 3, at + left + len(core)))
+        parts = [(at + left + a, 3, at + left + b) for a, b in random_parts(core, least, ratio, encode)]
+        found[i] += [x for x in parts if not any(a <= x[0] and x[2] <= b for a, _, b in found[i])]
     for i, spans in enumerate(found):
         if spans:
             raw = encoded[i]
@@ -96,7 +133,7 @@ def scan(texts: list[str | None], vocabulary: str, least: int, ratio: float) ->
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, least: int = 20, ratio: float = 2.2) -> DataFrame:
     """Every row's secrets: id, spans array<struct<kind, start, end>> (code points, end exclusive).
 
-    least: shortest run that the token test reads; ratio: characters a token below which a run is random.
+    least: shortest run or part that the token test reads; ratio: characters a token below which a run is random.
     """
 
     def make():

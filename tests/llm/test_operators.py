@@ -406,6 +406,19 @@ def test_random_strings_are_found_and_names_left_alone():
     assert found == [[3], [], [], [2]]
 
 
+def test_random_parts_of_readable_runs_are_found():
+    rng = random.Random(6)
+    letters, prefix = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "config.production.database.connection."
+    keys = ["".join(rng.choice(a) for _ in range(n)) for a in (letters, letters + "0123456789", letters + "0123456789+/") for n in (24, 40) for _ in range(50)]
+    keys = [k for k in keys if k[0] not in "+/" and k[-1] not in "+/"]
+    whole = secrets.scan(keys, secrets.VOCABULARY, 20, 2.2)
+    assert np.mean([s == [(0, 3, len(k))] for s, k in zip(whole, keys, strict=True) if k.isalnum()]) > 0.99
+    joined = secrets.scan([prefix + k + "/readable/documentation" for k in keys], secrets.VOCABULARY, 20, 2.2)
+    assert np.mean([any(a <= len(prefix) and len(prefix) + len(k) <= b for a, _, b in s) for s, k in zip(joined, keys, strict=True)]) > 0.95
+    names = ["AbstractSingletonProxyFactoryBean", "THIS_IS_A_CONSTANT_NAME", "antidisestablishmentarianism", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "Bundesverfassungsgerichtsentscheidungen", "/usr/local/lib/python3.13/site-packages", "customers/accounts/production/documentation/123e4567-e89b-12d3-a456-426614174000", "1234567890123456789012345"]
+    assert secrets.scan(names, secrets.VOCABULARY, 20, 2.2) == [[]] * len(names)
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([(1, "a token=abcdefgh12 b", 3), (2, "clean", None), (3, None, 1)], "doc_id long, text string, mark int")
     assert [tuple(r) for r in secrets.without_secrets(df).orderBy("doc_id").collect()] == [(1, "a [secret] b", 3), (2, "clean", None), (3, None, 1)]
