@@ -471,6 +471,24 @@ def test_classes_hold_every_similar_pair_and_no_other(docs, rows):
         assert c == d or any(got[x] == c and x != d and near_duplicates.similar(texts[x], texts[d]) for x in ids)
 
 
+def test_classes_hold_pairs_of_spread_edits(spark, docs, rows):
+    rng = random.Random(12)
+    word = lambda: f"w{rng.randint(0, 3000)}"
+    texts = []
+    for i in range(80):
+        base = [word() for _ in range(100)]
+        copy = base[:]
+        for at in range(i % 5, 100, 5) if i < 40 else sorted(rng.sample(range(100), 20)):
+            copy[at] = f"new{i}"
+        texts += [" ".join(base), " ".join(copy)]
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert all(near_duplicates.similar(near_duplicates.words_of(a), near_duplicates.words_of(b)) for a, b in zip(texts[::2], texts[1::2], strict=True))
+    assert np.mean([got[i] == got[i + 1] for i in range(0, 160, 2)]) >= 0.95
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates.classes(docs).collect()}
+    words = {d: near_duplicates.words_of(t) for d, t, *_ in rows}
+    assert all(got[a] == got[b] for a in words for b in words if a < b and near_duplicates.similar(words[a], words[b]))
+
+
 def test_components(spark, monkeypatch):
     rng = random.Random(8)
     links = [(f"n{a:03}", f"n{b:03}") for a, b in ((rng.randrange(150), rng.randrange(150)) for _ in range(110))] + [(f"p{i:03}", f"p{i + 1:03}") for i in range(40)]
