@@ -5,7 +5,9 @@ characters, tags, link characters and link tags; its composite density is charac
 whose base grows with the share of link text. A node's density sum adds its children's densities. The subtree of the
 largest sum is the content; the smallest density on its path to the body is the threshold below which a node is noise.
 Menus, headers, footers, asides, forms, scripts, styles, notices, adverts and reader comments go by element, role, class
-or id first, wherever they stand.
+or id first, wherever they stand. A class or id says so only as a whole word or a known compound of noise words
+(cookie-notice, not has-sidebar or related-work), and never for an element that holds an article or main element or,
+on pages without one, most of the page's text.
 
 Defined results: a null or empty page has an empty text; pages without tags are one block; a page is read whole;
 equal pages give equal rows; an empty table gives no rows; other columns are ignored.
@@ -29,8 +31,9 @@ BLOCKS = frozenset("address article aside blockquote body center dd details dial
 ENDS_P = BLOCKS - frozenset("br td th tr tbody thead tfoot caption body html option legend summary".split())
 DROPPED = frozenset("head script style title noscript template nav header footer aside form button select textarea input iframe svg math object embed canvas audio video menu dialog noembed noframes xmp".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar alert dialog".split())
-#: Words in class or id that mark what isn't the article (fixed values).
-NOISE = re.compile(r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|sidebar|side|aside|widget|ad|ads|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|banner|cookie|cookies|consent|gdpr|notice|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|share|sharing|social|related|recommended|comments?|commentlist|respond|disqus|replies|form|search|toolbar|pagination|pager|skip|hidden|copyright|legal)(?:$|[\s_-])", re.I)
+#: Words in class or id that mark what isn't the article, and words that only join them (fixed values).
+NOISE = frozenset("nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar side aside widget ad ads advert adverts advertisement advertising sponsor sponsored promo banner cookie cookies consent gdpr notice popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended comment comments commentlist respond disqus replies form search toolbar pagination pager skip hidden copyright legal".split())
+JOINING = frozenset("site page main top bottom left right primary secondary global mobile desktop sticky fixed inner outer wrapper wrap container content box block bar area section list item items link links button buttons icon icons group slot unit text sub post posts article articles story stories user reader thread policy media 1 2 3 4 5 6 7 8 9".split())
 #: Elements that close an open one of these kinds below the given ancestors (fixed values of the HTML standard).
 CLOSES = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "tr": (("tr", "td", "th"), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")), "option": (("option",), ("select",)), "tbody": (("tbody", "thead", "tfoot"), ("table",)), "tfoot": (("tbody", "thead", "tfoot"), ("table",))}
 SCOPE = frozenset("html body table td th caption button article section main div".split())
@@ -43,27 +46,39 @@ HIDDEN = re.compile(r"(?i)display\s*:\s*none|visibility\s*:\s*hidden")
 
 
 class Node:
-    __slots__ = ("name", "parent", "items", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("name", "parent", "items", "dropped", "named", "chars", "tags", "link_chars", "link_tags", "density", "sum")
 
     def __init__(self, name: str, parent: Node | None, dropped: bool = False):
         self.name, self.parent, self.dropped = name, parent, dropped
+        self.named = False  # noise by its class or id, if it doesn't hold the page's text
         self.items: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
 
 
-def noise(name: str, attributes: str) -> bool:
+def named_noise(value: str) -> bool:
+    """A token is noise as a whole word, or as a compound of noise words and words that only join them."""
+    for token in value.lower().split():
+        words = [w for w in re.split("[_-]+", token) if w]
+        if any(w in NOISE for w in words) and all(w in NOISE or w in JOINING for w in words):
+            return True
+    return False
+
+
+def noise(name: str, attributes: str) -> tuple[bool, bool]:
+    """Whether an element is noise by itself, and whether its class or id says so."""
     if name in DROPPED:
-        return True
+        return True, False
     if not attributes or name in ("html", "body"):
-        return False
+        return False, False
+    named = False
     for key, value in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
-        if key in ("class", "id") and name not in ("article", "main") and NOISE.search(value):
-            return True
+        if key in ("class", "id") and name not in ("article", "main"):
+            named = named or named_noise(value)
         if key == "role" and value.lower() in DROPPED_ROLES or key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and HIDDEN.search(value):
-            return True
-    return False
+            return True, False
+    return False, named
 
 
 def tree(html: str) -> Node:
@@ -122,7 +137,9 @@ def tree(html: str) -> Node:
         if name in CLOSES:
             here = close(*CLOSES[name])
         attributes = m[3]
-        node = Node(name, here, here.dropped or noise(name, attributes))
+        own, named = noise(name, attributes) if not here.dropped else (True, False)
+        node = Node(name, here, own)
+        node.named = named
         if not here.dropped:
             here.items.append(node)
         if name in RAW and not attributes.endswith("/"):
@@ -135,6 +152,32 @@ def tree(html: str) -> Node:
     return root
 
 
+def drop_named(root: Node) -> None:
+    """Drops what is noise by class or id, but for elements that hold an article or main or, on pages without one, more than half of the text that isn't noise by itself."""
+    order, stack, found = [], [root], False
+    while stack:
+        node = stack.pop()
+        if not node.dropped:
+            order.append(node)
+            found = found or node.named
+            stack.extend(x for x in node.items if isinstance(x, Node))
+    if not found:
+        return
+    holds: dict[Node, tuple[int, bool]] = {}
+    for node in reversed(order):
+        chars, article = 0, node.name in ("article", "main")
+        for x in node.items:
+            if isinstance(x, str):
+                chars += len(x.strip())
+            elif not x.dropped:
+                c, a = holds[x]
+                chars, article = chars + c, article or a
+        holds[node] = chars, article
+    for node in order:
+        if node.named and not holds[node][1] and (holds[root][1] or 2 * holds[node][0] <= holds[root][0]):
+            node.dropped = True
+
+
 def measure(root: Node) -> tuple[Node | None, list[Node]]:
     """Fills in every node's figures, children first; the body (or root) and all nodes that count, in page order."""
     order, stack = [], [root]
@@ -224,7 +267,9 @@ def blocks(node: Node, threshold: float) -> list[str]:
 def main_text(html: str | None) -> str:
     if not html:
         return ""
-    node, threshold = content(tree(html))
+    root = tree(html)
+    drop_named(root)
+    node, threshold = content(root)
     return "\n".join(blocks(node, threshold))
 
 

@@ -194,6 +194,17 @@ def test_html_odd_pages(page, text):
     assert html.main_text(page) == text
 
 
+STORY = "<p>First paragraph of the story, which is long enough.</p><section class='related-work'><p>Work of others.</p></section><div class='side-by-side'><p>Two columns.</p></div>"
+SAID = "First paragraph of the story, which is long enough.\nWork of others.\nTwo columns."
+
+
+@pytest.mark.parametrize("wrapper", ["<div class='page has-sidebar'>", "<div class='layout no-sidebar'>", "<div id='site' class='has-header'>", "<div class='hidden'>", "<div id='form'>", "<div class='sidebar'><div class='search'>"])
+def test_html_wrappers_named_like_noise(wrapper):
+    noise = "<div class='sidebar widget'>Other things</div><div id='cookie-notice'>We use cookies</div>"
+    assert html.main_text(f"<body>{wrapper}{noise}<article>{STORY}</article></div></body>") == SAID
+    assert html.main_text(f"<body>{wrapper}{noise}<div class='story'>{STORY}</div></div></body>") == SAID
+
+
 def test_html_rows(spark):
     rows = [(1, "u", None), (1, "u", None), (None, None, "<p>x"), (2, "v", "<article><p>" + "long text " * 200_000 + "</article>")]
     got = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
