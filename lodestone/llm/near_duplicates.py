@@ -295,7 +295,6 @@ def linked(signs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> Dat
         stuck = links.count() < 0.1 * fresh.count()  # other leaders would find as little
         roots = merged(roots, links)
         seen = seen.unionByName(fresh)
-        many = left.select("i", "h", "node", "n_words")  # a bucket of one component stays so
     return roots
 
 
