@@ -1,13 +1,18 @@
 """Main-text extraction from HTML by composite text density.
 
-The page is read into a tree by the rules of tag soup (void elements, implied ends, raw text). Each node has its
-characters, tags, link characters and link tags; its composite density is characters per tag, damped by a logarithm
-whose base grows with the share of link text. A node's density sum adds its children's densities. The subtree of the
-largest sum is the content; the smallest density on its path to the body is the threshold below which a node is noise.
-Menus, headers, footers, asides, forms, scripts, styles, notices, adverts and reader comments go by element, role, class
-or id first, wherever they stand. A class or id says so only as a whole word or a known compound of noise words
-(cookie-notice, not has-sidebar or related-work), and never for an element that holds an article or main element or,
-on pages without one, most of the page's text.
+The page is read into a tree by the rules of tag soup (void elements, implied ends, raw text). Elements and roles that
+are never the article (menus, headers of the page, footers, asides, forms, scripts, styles, hidden parts) go by name.
+Of all other nodes the composite text density is computed as published (Sun, Song and Liao 2011): characters per tag,
+times the logarithm of (characters / link characters) (tags / link tags) to the base
+ln(characters / other characters * link characters + (page's link characters / page's characters) * characters + e),
+where a count of none is one. A node's density sum adds its children's densities. The subtree of the largest sum holds the article.
+A class or id made of noise words is a weak signal: densities count in sums by their part of other characters and a
+quarter of such ones, and such a subtree is left out unless the largest sum is inside it all the same.
+
+The subtree is widened to the element that the text belongs to: a parent with paragraphs of its own, or an article or
+main element around it. The threshold is the smallest density on its path to the body. By it, blocks of links inside
+that are less dense are left out, and subtrees of the same element and class beside it that are as dense are taken in,
+as are the headings that lead to it.
 
 Defined results: a null or empty page has an empty text; pages without tags are one block; a page is read whole;
 equal pages give equal rows; an empty table gives no rows; other columns are ignored.
@@ -17,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -45,14 +51,20 @@ SPACE = re.compile(r"[\s ]+")
 HIDDEN = re.compile(r"(?i)display\s*:\s*none|visibility\s*:\s*hidden")
 
 
+#: Elements whose own header is part of what they hold.
+SECTIONS = frozenset("article main section".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+WEAK = 0.25  # what characters that a class or id calls noise count for in density sums
+
+
 class Node:
-    __slots__ = ("name", "parent", "items", "dropped", "named", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("name", "parent", "items", "dropped", "named", "kind", "at", "chars", "tags", "link_chars", "link_tags", "doubted", "density", "sum")
 
-    def __init__(self, name: str, parent: Node | None, dropped: bool = False):
-        self.name, self.parent, self.dropped = name, parent, dropped
-        self.named = False  # noise by its class or id, if it doesn't hold the page's text
+    def __init__(self, name: str, parent: Node | None, dropped: bool = False, kind: str = ""):
+        self.name, self.parent, self.dropped, self.kind, self.at = name, parent, dropped, kind, 0
+        self.named = False  # its class or id says noise
         self.items: list[Node | str] = []
-        self.chars = self.tags = self.link_chars = self.link_tags = 0
+        self.chars = self.tags = self.link_chars = self.link_tags = self.doubted = 0
         self.density = self.sum = 0.0
 
 
@@ -65,20 +77,25 @@ def named_noise(value: str) -> bool:
     return False
 
 
-def noise(name: str, attributes: str) -> tuple[bool, bool]:
-    """Whether an element is noise by itself, and whether its class or id says so."""
+def noise(name: str, attributes: str, parent: Node) -> tuple[bool, bool, str]:
+    """Whether an element is noise by itself, whether its class or id says so, and its class."""
     if name in DROPPED:
-        return True, False
+        node: Node | None = parent
+        while name == "header" and node is not None and node.name not in SECTIONS:
+            node = node.parent
+        if name != "header" or node is None:
+            return True, False, ""
     if not attributes or name in ("html", "body"):
-        return False, False
-    named = False
+        return False, False, ""
+    named, kind = False, ""
     for key, value in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
-        if key in ("class", "id") and name not in ("article", "main"):
+        if key in ("class", "id"):
             named = named or named_noise(value)
+            kind = value if key == "class" else kind
         if key == "role" and value.lower() in DROPPED_ROLES or key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and HIDDEN.search(value):
-            return True, False
-    return False, named
+            return True, False, ""
+    return False, named, kind
 
 
 def tree(html: str) -> Node:
@@ -137,8 +154,8 @@ def tree(html: str) -> Node:
         if name in CLOSES:
             here = close(*CLOSES[name])
         attributes = m[3]
-        own, named = noise(name, attributes) if not here.dropped else (True, False)
-        node = Node(name, here, own)
+        own, named, kind = noise(name, attributes, here) if not here.dropped else (True, False, "")
+        node = Node(name, here, own, kind)
         node.named = named
         if not here.dropped:
             here.items.append(node)
@@ -152,43 +169,19 @@ def tree(html: str) -> Node:
     return root
 
 
-def drop_named(root: Node) -> None:
-    """Drops what is noise by class or id, but for elements that hold an article or main or, on pages without one, more than half of the text that isn't noise by itself."""
-    order, stack, found = [], [root], False
-    while stack:
-        node = stack.pop()
-        if not node.dropped:
-            order.append(node)
-            found = found or node.named
-            stack.extend(x for x in node.items if isinstance(x, Node))
-    if not found:
-        return
-    holds: dict[Node, tuple[int, bool]] = {}
-    for node in reversed(order):
-        chars, article = 0, node.name in ("article", "main")
-        for x in node.items:
-            if isinstance(x, str):
-                chars += len(x.strip())
-            elif not x.dropped:
-                c, a = holds[x]
-                chars, article = chars + c, article or a
-        holds[node] = chars, article
-    for node in order:
-        if node.named and not holds[node][1] and (holds[root][1] or 2 * holds[node][0] <= holds[root][0]):
-            node.dropped = True
-
-
-def measure(root: Node) -> tuple[Node | None, list[Node]]:
+def measure(root: Node) -> tuple[Node, list[Node]]:
     """Fills in every node's figures, children first; the body (or root) and all nodes that count, in page order."""
     order, stack = [], [root]
     while stack:
         node = stack.pop()
         if node.dropped:
             continue
+        node.at = len(order)
+        node.chars = node.tags = node.link_chars = node.link_tags = node.doubted = 0
+        node.density = node.sum = 0.0
         order.append(node)
         stack.extend(x for x in reversed(node.items) if isinstance(x, Node))
     for node in reversed(order):
-        link = node.name == "a"
         for x in node.items:
             if isinstance(x, str):
                 node.chars += len(x.strip())
@@ -197,45 +190,93 @@ def measure(root: Node) -> tuple[Node | None, list[Node]]:
                 node.tags += x.tags + 1
                 node.link_chars += x.link_chars
                 node.link_tags += x.link_tags + (x.name == "a")
-        if link:
+        if node.name == "a":
             node.link_chars = node.chars
     body = next((x for x in order if x.name == "body"), root)
     ratio = body.link_chars / max(1, body.chars)
+    inside: set[Node] = set()
+    for node in order:
+        node.density = density(node.chars, node.tags, node.link_chars, node.link_tags, ratio)
+        if node.named or node.parent in inside:
+            inside.add(node)
+            node.doubted = node.chars
     for node in reversed(order):
-        c, t, lc, lt = node.chars, max(1, node.tags), node.link_chars, node.link_tags
-        if c:
-            other = max(1, c - lc)
-            base = math.log(c / other * lc + ratio * c + math.e)
-            inner = max(1.0, c / max(1, lc) * t / max(1, lt))
-            node.density = c / t * math.log(inner + 1e-9) / max(1e-9, math.log(max(base, 1.0001) + 1)) if lc else c / t * math.log(max(2.0, c * t)) / math.log(base + 1)
-        node.sum = sum(x.density for x in node.items if isinstance(x, Node) and not x.dropped)
+        if node not in inside:
+            node.doubted = sum(x.doubted for x in node.items if isinstance(x, Node) and not x.dropped)
+        if node.parent is not None:
+            node.parent.sum += node.density * (1 - (1 - WEAK) * node.doubted / max(1, node.chars))
     return body, order
 
 
-def content(root: Node) -> tuple[Node, float]:
-    """The subtree of the largest density sum, widened to the article around it, and the threshold of its path to the body."""
-    body, order = measure(root)
-    best = max(order, key=lambda x: (x.sum, x.chars)) if any(x.sum for x in order) else body
-    threshold, node = best.density, best
-    while node is not body and node.parent is not None:
-        node = node.parent
-        threshold = min(threshold, node.density)
-    node = best
-    while node is not None and node.name not in ("article", "main", "body", "html"):
+def density(chars: int, tags: int, link_chars: int, link_tags: int, ratio: float) -> float:
+    """Composite text density; ratio: the page's link characters of its characters."""
+    if not chars:
+        return 0.0
+    other, tags, link_chars, link_tags = max(1, chars - link_chars), max(1, tags), max(1, link_chars), max(1, link_tags)
+    base = math.log(chars / other * link_chars + ratio * chars + math.e)
+    return chars / tags * math.log(max(1.0, chars / link_chars * tags / link_tags), base)
+
+
+def above(node: Node | None) -> Iterator[Node]:
+    while node is not None:
+        yield node
         node = node.parent
-    if node is not None and node.name in ("article", "main"):
-        best = node
-    elif best.name not in ("body", "html"):
-        # a sibling of the best subtree that is as dense belongs to the same text
-        while best.parent is not None and best.parent is not body and best.parent.density >= threshold and best.parent.chars > best.chars:
-            best = best.parent
-        if best.parent is not None and best.chars < 0.5 * best.parent.chars:
-            best = best.parent
-    return best, threshold
-
-
-def blocks(node: Node, threshold: float) -> list[str]:
-    """Texts of the blocks below node, in page order. Below it, a block of links that is under the threshold is noise."""
+
+
+def densest(order: list[Node]) -> Node:
+    """The node of the largest density sum; of equals the one with most text, then the innermost."""
+    return max((x for x in order if x.sum), key=lambda x: (x.sum, x.chars, x.at), default=order[0])
+
+
+def own_text(node: Node) -> int:
+    """Characters outside links of the node's own text and paragraphs."""
+    return sum(len(x.strip()) if isinstance(x, str) else x.chars - x.link_chars if x.name == "p" and not x.dropped else 0 for x in node.items)
+
+
+def content(root: Node) -> tuple[set[Node], float]:
+    """The subtrees that hold the article, and the threshold: the smallest density from the densest of them up to the body."""
+    body, order = measure(root)
+    best = densest(order)
+    spared = set(above(best))
+    if any(x.named for x in order):
+        for node in order:
+            if node.named and node not in spared:
+                node.dropped = True
+        body, order = measure(root)
+        best = densest(order)
+    for node in above(best):  # to the element that the text belongs to
+        if node.name in ("article", "main"):
+            best = node
+            break
+        if node in (body, root):
+            best = node if own_text(node) > 0.1 * best.chars else best
+            break
+        if own_text(node):
+            best = node
+    if best is root:
+        return {root}, root.density
+    path = [x for x in above(best) if x.at >= body.at]
+    threshold = min(x.density for x in path)
+    chosen = {best}
+    for x in best.parent.items if best is not body and best.parent is not None else ():
+        if isinstance(x, Node) and not x.dropped and (x.name, x.kind) == (best.name, best.kind) and x.density >= threshold:
+            chosen.add(x)
+    title = [x for x in order if x.name == "h1" and 2 * x.link_chars <= x.chars]
+    if not any(best in above(x) for x in title):
+        chosen.update(x for x in title if x.at < best.at)
+    for node in path[:-1]:  # a heading right before what holds the article
+        before: Node | None = None
+        for x in node.parent.items if node.parent is not None else ():
+            if x is node:
+                break
+            before = x if isinstance(x, Node) and not x.dropped else None if isinstance(x, str) and x.strip() else before
+        if before is not None and before.name in HEADINGS and 2 * before.link_chars <= before.chars:
+            chosen.add(before)
+    return chosen, threshold
+
+
+def blocks(root: Node, chosen: set[Node], threshold: float) -> list[str]:
+    """Texts of the blocks below the chosen nodes, in page order. Inside them, a block of links that is under the threshold is noise."""
     out: list[str] = []
     line: list[str] = []
 
@@ -245,21 +286,23 @@ def blocks(node: Node, threshold: float) -> list[str]:
         if text:
             out.append(text)
 
-    stack: list[Node | str | None] = [node]
+    stack: list[tuple[Node | str | None, bool]] = [(root, False)]
     while stack:
-        x = stack.pop()
+        x, inside = stack.pop()
         if x is None:
             flush()
         elif isinstance(x, str):
-            line.append(x)
+            if inside:
+                line.append(x)
         elif not x.dropped:
             block = x.name in BLOCKS
-            if x is not node and block and x.chars and x.link_chars > 0.7 * x.chars and x.link_tags > 2 and x.density < threshold:
+            if inside and block and x.name != "p" and 2 * x.link_chars > x.chars and x.link_tags > 1 and x.density < threshold:
                 continue
+            inside = inside or x in chosen
             if block:
                 flush()
-                stack.append(None)
-            stack.extend(reversed(x.items))
+                stack.append((None, inside))
+            stack.extend((y, inside) for y in reversed(x.items))
     flush()
     return out
 
@@ -268,9 +311,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     root = tree(html)
-    drop_named(root)
-    node, threshold = content(root)
-    return "\n".join(blocks(node, threshold))
+    return "\n".join(blocks(root, *content(root)))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -205,6 +205,87 @@ def test_html_wrappers_named_like_noise(wrapper):
     assert html.main_text(f"<body>{wrapper}{noise}<div class='story'>{STORY}</div></div></body>") == SAID
 
 
+P, LONG = "<p>{}</p>".format, "The quick brown fox jumps over the lazy dog near the river bank, again and again."
+PAGES = {
+    "a class of several words holds the story": (f"<nav><a href=/>x</a></nav><section class='share-price-news'><h2>Shares</h2>{P(LONG) * 2}</section>", ["Shares", LONG, LONG]),
+    "a noise class holds the story": (f"<nav><a href=/>x</a></nav><section class='related'><h2>Shares</h2>{P(LONG) * 2}</section><div>Small</div>", ["Shares", LONG, LONG]),
+    "a header of the article": (f"<header><h1>Site</h1></header><article><header><h1>Title</h1></header>{P(LONG) * 2}</article><footer>f</footer>", ["Title", LONG, LONG]),
+    "promotion without a listed class": (f"<article><h1>T</h1>{P(LONG)}<div class='zz9'><a href=1>Ten tricks they hide</a> <a href=2>You will not believe it</a></div>{P(LONG)}</article>", ["T", LONG, LONG]),
+    "reader comments without a listed class": (
+        f"<div id=page><h1>T</h1><div class=by>By A. Person</div><div class=story>{P(LONG) * 6}</div><div class=talk><div class=c>{P('I liked this text a lot, thanks.')}</div><div class=c>{P('Me too, it is well put and true.')}</div></div></div><div class=rail><ul><li><a href=1>One</a></li><li><a href=2>Two</a></li></ul></div>",
+        ["T", *[LONG] * 6],
+    ),
+    "an article in parts": (f"<div id=c><div class=part>{P(LONG) * 3}</div><div class=part>{P(LONG) * 4}</div></div><div class=rail><a href=1>x</a></div>", [LONG] * 7),
+    "several articles": (f"<article><h1>Main</h1>{P(LONG) * 4}</article>" + f"<article class=teaser><h2><a href=1>Another story</a></h2>{P('Short teaser.')}</article>" * 2, ["Main", *[LONG] * 4]),
+    "paragraphs around the densest part": (f"<div class=story>{P('Lead.')}<div class=inner>{P(LONG) * 5}</div>{P('End.')}</div><div class=x><a href=1>Link</a></div>", ["Lead.", *[LONG] * 5, "End."]),
+    "comments in the article": (f"<article><h1>T</h1>{P(LONG) * 3}<section class=comments><article class=comment>{P(LONG + LONG)}</article></section></article>", ["T", *[LONG] * 3]),
+    "more comments than article": (f"<article><h1>T</h1>{P(LONG) * 3}</article><section id=comments>{P(LONG) * 7}</section>", ["T", *[LONG] * 3]),
+    "no containers": (f"<h1>T</h1>{P(LONG) * 3}<ul class=zz><li><a href=1>a b</a><li><a href=2>c d</a></ul>", ["T", *[LONG] * 3]),
+}
+
+
+@pytest.mark.parametrize("name", PAGES)
+def test_html_by_density(name):
+    body, text = PAGES[name]
+    assert html.main_text(f"<html><body>{body}</body></html>") == "\n".join(text)
+
+
+def test_html_needs_the_densities(monkeypatch):
+    monkeypatch.setattr(html, "density", lambda chars, tags, link_chars, link_tags, ratio: 1.0 if chars else 0.0)
+    wrong = [name for name, (body, text) in PAGES.items() if html.main_text(f"<html><body>{body}</body></html>") != "\n".join(text)]
+    assert len(wrong) >= 3
+
+
+def test_html_densities_equal_a_plain_version():
+    rng = random.Random(7)
+
+    def some(depth):
+        name = rng.choice(["div", "p", "a", "ul", "b"]) if depth else "div"
+        return name, ["text " * rng.randint(1, 9) if depth > 3 or rng.random() < 0.5 else some(depth + 1) for _ in range(rng.randint(0, 4))]
+
+    def markup(x):
+        return x if isinstance(x, str) else f"<{x[0]}>{''.join(map(markup, x[1]))}</{x[0]}>"
+
+    def under(x, link=False):
+        """All (kind, characters) below: a text or a tag, and whether it is in a link."""
+        for y in x[1]:
+            if isinstance(y, str):
+                yield "text", len(y.strip()), link or x[0] == "a"
+            else:
+                yield ("link" if y[0] == "a" else "tag"), 0, False
+                yield from under(y, link or x[0] == "a")
+
+    def figures(x):
+        all_ = list(under(x))
+        c, lc = sum(n for _, n, _ in all_), sum(n for _, n, link in all_ if link)
+        return c, sum(k != "text" for k, _, _ in all_), lc, sum(k == "link" for k, _, _ in all_)
+
+    for _ in range(200):
+        page = ("body", [some(0) for _ in range(3)])
+        c, _, lc, _ = figures(page)
+        root = html.Node("html", None)
+        want = []
+
+        def walk(x, parent):
+            node = html.Node(x[0], parent)
+            parent.items.append(node)
+            n, t, ln, lt = figures(x)
+            one = lambda v: max(1, v)
+            base = np.log(n / one(n - ln) * one(ln) + lc / one(c) * n + np.e)
+            want.append((node, n / one(t) * np.log(one(n / one(ln) * one(t) / one(lt))) / np.log(base) if n else 0.0))
+            for y in x[1]:
+                if isinstance(y, str):
+                    node.items.append(y)
+                else:
+                    walk(y, node)
+
+        walk(page, root)
+        html.measure(root)
+        for node, d in want:
+            assert node.density == pytest.approx(d)
+            assert node.sum == pytest.approx(sum(e for m, e in want if m.parent is node))
+
+
 def test_html_rows(spark):
     rows = [(1, "u", None), (1, "u", None), (None, None, "<p>x"), (2, "v", "<article><p>" + "long text " * 200_000 + "</article>")]
     got = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
