@@ -39,6 +39,20 @@ def written(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, name: str = "step", dealt: bool = False) -> DataFrame:
+    """Like `written`, in buckets by key, so that joins by it needn't shuffle these rows again.
+
+    dealt: df's partitions hold few buckets each already, so it isn't shuffled here either. The table has no name afterwards.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table_name = f"lodestone_{uuid.uuid4().hex}"
+    (df if dealt else df.repartition(n, key)).write.format("parquet").bucketBy(n, key).option("path", f"{shared_folder(spark)}/{name}").saveAsTable(table_name)
+    out = spark.table(table_name)
+    spark.sql(f"DROP TABLE {table_name}")
+    return out
+
+
 def pieces(batch: pa.RecordBatch, column: str, most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Runs of the batch's rows whose text takes about most_bytes: bounds the working memory; a longer text stands alone."""
     lengths = [0 if x is None else x for x in pa.compute.binary_length(batch.column(column)).to_pylist()]

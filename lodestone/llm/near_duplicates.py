@@ -7,22 +7,28 @@ falls if those stand in another order, so sketches are sensitive to edit similar
 are linked if their word-level edit distance, by alignment in a growing band of diagonals, is at most a fifth of the
 longer text's words. Classes are the connected components of the links.
 
-No task sees all pairs of a large group. Texts of equal words are one node. Buckets of few nodes are compared in full;
-in large ones every node is compared with a leader, for some rounds with new leaders each, and after each round
-only nodes of different components count. What is left then, pairs of a large bucket in
+No task sees all pairs of a large group. Texts of equal words are one node. In each bucket (the nodes of one sketch)
+every node is compared with a leader, and only buckets that then hold several components stay open. Small open buckets
+are compared in full; larger ones for some rounds with new leaders. What is left then, pairs of a large bucket in
 different components, is compared in full, in blocks of nodes: no link between different texts is lost that a shared
 sketch shows. Where a fifth of the words is replaced, all apart from each other, texts still share three fifths of their
 k-mers, which is a Jaccard similarity of 0.43: such pairs, the worst of those to link, share four of 48 sketches on
 average, and none about twice in a hundred; edits that stand together or are fewer leave more. No number of partners, candidates or bucket entries is capped.
 
+Every row gets a key of its own at first, and the texts are shuffled once, into buckets by that key. Texts for the
+comparisons and the rows that are kept are found there, so neither repeated nor null ids matter, and no text is
+shuffled by a key that many rows share.
+
 Defined results: null texts count as empty; texts without a word are one class; texts of one word are one
-k-mer; a class is named by its smallest doc_id; equal rows are in one class; texts are read whole; an empty table gives
-no rows; in the query other columns are ignored, in `deduplicated` they pass through.
+k-mer; a class is named by its smallest doc_id (null if all its ids are null); equal rows are in one class; rows of one
+id with different texts are in the classes of their texts; texts are read whole; an empty table gives no rows; in the
+query other columns are ignored, in `deduplicated` they pass through.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -30,16 +36,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, schemas, written
+from .common import bucketed, map_rows, schemas, written
 from .fingerprints import BASE, BASE_INVERSE, BYTE_CODES, U, mixed, powers
 
 WORDS = 2
 SKETCHES = 48
 PICKED = 3
 SIMILARITY = 0.8
-SMALL = 16  # nodes of a bucket up to which all its pairs are compared at once
-ROUNDS = 4  # of leaders in larger buckets, at most
-FEW = 16  # pairs left for each posting, at most, for which no more leaders are tried
+SMALL = 16  # nodes of a bucket up to which all its open pairs are compared after the first leader
+ROUNDS = 3  # of leaders in larger buckets, at most, after the first
+HUB_BLOCK = 256  # nodes, about, that are compared with one copy of a leader's text
+BAG = 64  # counts of a text's words by hash, which bound the edit distance of many pairs at once
 ONE_TASK = 20_000  # edges
 OUTSIDE_BLOCK, ALL_BLOCK = 64, 256  # nodes, about, of either side of a block of the last comparison
 _seeds = np.random.default_rng(9)
@@ -54,10 +61,10 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").lower().encode("utf-8", "surrogatepass").split()
 
 
-def node_of(text: str | None) -> tuple[str, int]:
-    """A digest of the words, 24 hex digits, and their number."""
+def node_of(text: str | None) -> tuple[bytes, int]:
+    """A digest of the words and their number."""
     words = words_of(text)
-    return hashlib.blake2b(b" ".join(words), digest_size=12).hexdigest(), len(words)
+    return hashlib.blake2b(b" ".join(words), digest_size=16).digest(), len(words)
 
 
 def word_hashes(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -94,6 +101,24 @@ def labelled(words: np.ndarray) -> np.ndarray:
     return out
 
 
+def smallest(kmers: np.ndarray, a: int, b: int, m: int) -> np.ndarray:
+    """For hash functions a to b the places of their m smallest k-mers, in text order."""
+    n = len(kmers)
+    v = (kmers[None, :] ^ XOR[a:b, None]) * ODD[a:b, None]
+    if n < 64:
+        return np.sort(np.argpartition(v, m - 1, axis=1)[:, :m], axis=1)
+    # about 16 values of each row are below the limit, fewer than m of them hardly ever
+    row, at = np.nonzero(v < U((1 << 64) // n * 16))
+    few = np.bincount(row, minlength=b - a) < m
+    order = np.lexsort((v[row, at], row))
+    first = np.searchsorted(row, np.arange(b - a))
+    take = np.minimum(first[:, None] + np.arange(m), len(at) - 1)
+    out = at[order[take]] if len(at) else np.zeros((b - a, m), np.int64)
+    if few.any():
+        out[few] = np.argpartition(v[few], m - 1, axis=1)[:, :m]
+    return np.sort(out, axis=1)
+
+
 def sketch(kmers: np.ndarray, sketches: int = SKETCHES, picked: int = PICKED) -> np.ndarray:
     """The Order MinHash sketches of a text's labelled k-mers; none for a text without words."""
     n = len(kmers)
@@ -104,8 +129,7 @@ def sketch(kmers: np.ndarray, sketches: int = SKETCHES, picked: int = PICKED) ->
     rows = max(1, min(sketches, (1 << 20) // n))
     for a in range(0, sketches, rows):
         b = min(sketches, a + rows)
-        v = (kmers[None, :] ^ XOR[a:b, None]) * ODD[a:b, None]
-        at = np.sort(np.argpartition(v, m - 1, axis=1)[:, :m], axis=1)  # back in text order
+        at = smallest(kmers, a, b, m)
         h = np.arange(a, b, dtype=np.uint64) + U(1)
         for i in range(m):
             h = mixed(h * ORDER_CODES[i] + kmers[at[:, i]])
@@ -167,46 +191,48 @@ def similar(a: list, b: list, similarity: float = SIMILARITY) -> bool:
     return edit_distance(a, b, most) is not None
 
 
-def signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, node, n_words, sketches of every row."""
+def signed(rows: DataFrame) -> DataFrame:
+    """row, id, node, n_words, sketches of every row (row, id, text)."""
 
     def make():
         def run(part: pa.RecordBatch) -> list:
-            texts = part.column(1).to_pylist()
+            texts = part.column(2).to_pylist()
             nodes = [node_of(t) for t in texts]
-            return [part.column(0), [k for k, _ in nodes], [n for _, n in nodes], [s.tolist() for s in sketches_of(texts)]]
+            return [part.column(0), part.column(1), [k for k, _ in nodes], [n for _, n in nodes], sketches_of(texts)]
 
         return run
 
-    picked = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
-    return map_rows(picked, "id long, node string, n_words int, sketches array<long>", make, "text", 1 << 20)
+    return map_rows(rows, "row long, id long, node binary, n_words int, sketches array<long>", make, "text", 1 << 20)
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes whose texts are linked."""
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    """The pairs (a, b) of nodes whose texts are linked; `n` is about how many pairs have a, at most.
+
+    b's text comes to the pair; a's goes to each block of its pairs. So pairs of one much used a are many blocks.
+    """
+    pairs = pairs.withColumn("block", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / HUB_BLOCK)).cast("int")).drop("n")
+    left = pairs.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
+    hubs = pairs.select("a", "block").distinct().join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
+    both = left.join(hubs, ["a", "block"]).select("a", "b", "text_a", "text_b")
 
     def run(batches):
-        last: tuple[str | None, list] = (None, [])
+        last: tuple[int | None, list] = (None, [])
         for batch in batches:
             keep = []
-            for i in range(batch.num_rows):
-                b = batch.column(1)[i].as_py()
-                if b != last[0]:
-                    last = (b, words_of(batch.column(3)[i].as_py()))
-                keep.append(similar(words_of(batch.column(2)[i].as_py()), last[1]))
+            for a, text_a, text_b in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True):
+                if a != last[0]:
+                    last = (a, words_of(text_a.as_py()))
+                keep.append(similar(last[1], words_of(text_b.as_py())))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(run, "a string, b string")
+    return both.mapInArrow(run, "a long, b long")
 
 
 def joined_up(edges: pa.Table) -> pa.Table:
-    """The same for edges in one table, by union and find."""
-    up: dict[str, str] = {}
+    """The same as `stars` for edges in one table, by union and find."""
+    up: dict = {}
 
-    def top(x: str) -> str:
+    def top(x):
         while (y := up.get(x, x)) != x:
             up[x] = up.get(y, y)
             x = y
@@ -217,7 +243,7 @@ def joined_up(edges: pa.Table) -> pa.Table:
         up[y] = x
         up.setdefault(x, x)
     found = [(x, r) for x in up if (r := top(x)) != x]
-    return pa.Table.from_arrays([pa.array([f[k] for f in found], pa.string()) for k in range(2)], ["a", "b"])
+    return pa.table({name: pa.array([f[k] for f in found], edges.column(name).type) for k, name in enumerate("ab")})
 
 
 def stars(links: DataFrame) -> DataFrame:
@@ -228,7 +254,7 @@ def stars(links: DataFrame) -> DataFrame:
     """
     edges = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
     if edges.count() <= ONE_TASK:
-        return written(edges.groupBy((F.length("a") < 0).alias("all")).applyInArrow(joined_up, "a string, b string"), "stars")
+        return written(edges.groupBy(F.col("a").isNull().alias("all")).applyInArrow(joined_up, edges.schema), "stars")
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -260,107 +286,130 @@ def close(a: str, b: str):
     return F.least(a, b) >= SIMILARITY * F.greatest(a, b) - 1e-9
 
 
-def linked(signs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The component stars of the nodes of signs."""
-    nodes = signs.where(F.size("sketches") > 0).groupBy("node").agg(F.first("n_words").alias("n_words"), F.first("sketches").alias("sketches"), F.min("id").alias("id"))
-    posted = nodes.select("node", "n_words", "id", F.posexplode("sketches").alias("i", "h"))
-    sizes = posted.groupBy("i", "h").agg(F.count("*").alias("n")).where("n > 1")
-    posted = written(posted.join(sizes, ["i", "h"]), "posted")
-    wanted = posted.select("id", "node").distinct()
-    # one row of each node gives its text; its id finds it without reading every text's words again
-    ids = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text")).join(wanted, "id")
-    texts = written(ids.groupBy("node").agg(F.min("text").alias("text")) if signs.select("id").distinct().count() < signs.count() else ids.select("node", "text"), "texts")
-
-    few = posted.where(F.col("n") <= SMALL).select("i", "h", "node", "n_words")
-    a, b = few.alias("a"), few.alias("b")
-    near = a.join(b, (F.col("a.i") == F.col("b.i")) & (F.col("a.h") == F.col("b.h")) & (F.col("a.node") < F.col("b.node")) & close("a.n_words", "b.n_words")).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
-    many = posted.where(F.col("n") > SMALL).select("i", "h", "node", "n_words")
-    seen = written(near.distinct(), "pairs")
-    links = written(verified(seen, texts), "links")
-    roots = stars(links)
+def linked(signs: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
+    """The component stars of the nodes (key), whose sketches and texts are those of the row of that number."""
+    keys = nodes.select(F.col("key").alias("row"))
+    posted = signs.join(keys.hint("shuffle_hash"), "row").select(F.col("row").alias("key"), "n_words", F.explode("sketches").alias("h"))
+    sizes = posted.groupBy("h").agg(F.count("*").alias("k")).where("k > 1")
+    left = written(posted.join(sizes, "h").select("h", "key", "n_words", F.col("key").alias("root"), "k"), "posted")
+    wanted = left.select(F.col("key").alias("row")).distinct()
+    texts = bucketed(rows.join(wanted.hint("shuffle_hash"), "row").select(F.col("row").alias("key"), "text"), "key", "texts", dealt=True)
+    roots = seen = signs.sparkSession.createDataFrame([], "a long, b long")
     stuck = False
-    for turn in range(ROUNDS + 1):
-        named = many.join(roots.select(F.col("a").alias("node"), F.col("b").alias("root")), "node", "left").select("i", "h", "node", "n_words", F.coalesce("root", "node").alias("root"))
-        parts = named.groupBy("i", "h", "root").agg(F.count("*").alias("k"), F.min(F.struct(F.xxhash64("node", F.lit(turn)), F.col("node"), F.col("n_words"), F.col("root"))).alias("lead"))
-        open_ = parts.groupBy("i", "h").agg(F.count("*").alias("parts"), F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"), F.min("lead").alias("lead"), F.max_by("root", F.struct("k", "root")).alias("main"), F.max("k").alias("k_main")).where("parts > 1")
-        left = written(named.join(open_, ["i", "h"]), "open")
-        n, rest = left.agg(F.count("*"), F.sum((F.col("k") - F.col("kk") / F.col("k")) / 2)).first()  # each bucket's k rows say its pairs together
-        if not n:
+    for turn in range(ROUNDS + 2):
+        if turn:
+            new = roots.select(F.col("a").alias("key"), F.col("b").alias("new"))
+            left = written(left.join(new, "key", "left").select("h", "key", "n_words", F.coalesce("new", "key").alias("root")), "named")
+        # minima alone, so that the rows of one bucket are combined before they are shuffled
+        lead = F.min(F.struct(F.xxhash64("key", F.lit(turn)), F.col("key"), F.col("n_words"), F.col("root")))
+        open_ = written(left.groupBy("h").agg(lead.alias("lead"), F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("h", "n", "lead"), "open")
+        if open_.isEmpty():
             break
-        if turn == ROUNDS or stuck or rest <= FEW * n:
-            return merged(roots, written(across(left, texts), "links"))
-        pairs = left.where((F.col("root") != F.col("lead.root")) & close("n_words", "lead.n_words")).select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct()
-        fresh = written(pairs.join(seen, ["a", "b"], "left_anti"), "pairs")
+        left = written(left.select("h", "key", "n_words", "root").join(open_, "h"), "left")
+        rest = None
+        if turn:
+            small, left = left.where(F.col("n") <= SMALL), left.where(F.col("n") > SMALL)
+            a, b = small.alias("a"), small.alias("b")
+            apart = (F.col("a.key") < F.col("b.key")) & (F.col("a.root") != F.col("b.root")) & close("a.n_words", "b.n_words")
+            rest = a.join(b, (F.col("a.h") == F.col("b.h")) & apart).select(F.col("a.key").alias("a"), F.col("b.key").alias("b"), F.col("a.n").alias("n"))
+        if turn > ROUNDS or stuck:
+            found = verified(fresh_pairs(rest, seen), texts).unionByName(across(left, texts))
+            return merged(roots, written(found, "links"))
+        led = left.where((F.col("root") != F.col("lead.root")) & close("n_words", "lead.n_words")).select(F.col("lead.key").alias("a"), F.col("key").alias("b"), "n")
+        fresh = written(fresh_pairs(led if rest is None else led.unionByName(rest), seen), "pairs")
         links = written(verified(fresh, texts), "links")
-        stuck = links.count() < 0.1 * fresh.count()  # other leaders would find as little
         roots = merged(roots, links)
-        seen = seen.unionByName(fresh)
+        if turn:
+            if left.isEmpty():
+                break
+            stuck = links.count() < 0.1 * fresh.count()  # other leaders would find as little
+        seen = seen.unionByName(fresh.select("a", "b"))
     return roots
 
 
+def fresh_pairs(pairs: DataFrame, seen: DataFrame) -> DataFrame:
+    """Each pair once, with its largest n, but for those seen in either order."""
+    both = seen.unionByName(seen.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    return pairs.groupBy("a", "b").agg(F.max("n").alias("n")).join(both, ["a", "b"], "left_anti")
+
+
+def bag_of(words: list[bytes]) -> np.ndarray:
+    return np.bincount([zlib.crc32(w) % BAG for w in words], minlength=BAG).astype(np.int32)
+
+
 def across(left: DataFrame, texts: DataFrame) -> DataFrame:
     """Links between nodes of different components that share a bucket of left, each pair looked at in its first such bucket.
 
     In each bucket the nodes outside its largest component meet all nodes, in blocks of both: texts go to the blocks,
     and pairs exist only while a block is at work.
     """
-    own = left.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("i", "h"))).alias("open")).join(texts, "node")  # a row a sketch at most
-    rows = written(left.select("i", "h", "node", "root", "main", F.ceil(F.col("k") / ALL_BLOCK).cast("int").alias("n_all"), F.ceil((F.col("k") - F.col("k_main")) / OUTSIDE_BLOCK).cast("int").alias("n_out")).join(own, "node"), "blocks")
-    columns = ["i", "h", "out_block", "all_block", "node", "root", "main", "open", "text"]
+    parts = left.groupBy("h", "root").agg(F.count("*").alias("k"))
+    sizes = written(parts.groupBy("h").agg(F.sum("k").alias("k"), F.max("k").alias("k_main"), F.max_by("root", F.struct("k", "root")).alias("main")), "sizes")
+    own = left.groupBy("key").agg(F.collect_list("h").alias("open")).join(texts, "key")  # a number a sketch at most
+    rows = left.select("h", "key", "root").join(sizes, "h")
+    rows = rows.select("h", "key", "root", "main", F.ceil(F.col("k") / ALL_BLOCK).cast("int").alias("n_all"), F.ceil((F.col("k") - F.col("k_main")) / OUTSIDE_BLOCK).cast("int").alias("n_out"))
+    rows = written(rows.join(own, "key"), "blocks")
+    columns = ["h", "out_block", "all_block", "key", "root", "main", "open", "text"]
     spread = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    place = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), n).cast("int")
+    place = lambda n, salt: F.pmod(F.xxhash64("key", F.lit(salt)), n).cast("int")
     outside = rows.where("root <> main").withColumn("out_block", place(F.col("n_out"), 1)).withColumn("all_block", spread(F.col("n_all"))).select(*(F.col(c).alias(c) for c in columns))
     every = rows.withColumn("all_block", place(F.col("n_all"), 2)).withColumn("out_block", spread(F.col("n_out"))).select(*columns)
-    out, kinds = schemas("a string, b string")
+    out, kinds = schemas("a long, b long")
 
     def cell(ones: pa.Table, others: pa.Table) -> pa.Table:
-        found: list[tuple[str, str]] = []
-
-        def nodes(t: pa.Table) -> list:
-            got = []
-            for node, root, main, opened, text in zip(*(t.column(c).to_pylist() for c in ("node", "root", "main", "open", "text")), strict=True):
-                words = words_of(text)
-                got.append((node, root, root == main, {x["i"]: x["h"] for x in opened}, words, Counter(words)))
-            return got
-
+        found: list[tuple[int, int]] = []
         if ones.num_rows and others.num_rows:
-            here = ones.column("i")[0].as_py()
-            ones_, others_ = nodes(ones), nodes(others)
-            for u, root, _, mine, words, bag in ones_:
-                for v, other, main, theirs, words2, bag2 in others_:
-                    if root == other or not main and u >= v:
-                        continue
-                    longest = max(len(words), len(words2))
-                    most = int(longest * (1 - SIMILARITY) + 1e-9)
-                    if abs(len(words) - len(words2)) > most or any(i < here and theirs.get(i) == h for i, h in mine.items()):
-                        continue
-                    small, large = (bag, bag2) if len(bag) <= len(bag2) else (bag2, bag)
-                    if longest - sum(min(n, large.get(w, 0)) for w, n in small.items()) <= most and edit_distance(words, words2, most) is not None:
-                        found.append((min(u, v), max(u, v)))
-        return pa.Table.from_arrays([pa.array([p[k] for p in found], pa.string()) for k in range(2)], schema=kinds)
-
-    keys = ["i", "h", "out_block", "all_block"]
-    return outside.groupBy(*keys).cogroup(every.groupBy(*keys)).applyInArrow(cell, out).distinct()
+            here = ones.column("h")[0].as_py()
+            both = []
+            for t in (ones, others):
+                words = [words_of(x) for x in t.column("text").to_pylist()]
+                both.append((t.column("key").to_numpy(), t.column("root").to_numpy(), np.array([len(w) for w in words]), np.array([bag_of(w) for w in words]), words, [set(x) for x in t.column("open").to_pylist()]))
+            (key, root, size, bag, words, opened), (key2, root2, size2, bag2, words2, opened2) = both
+            main = ones.column("main")[0].as_py()
+            for i in range(len(key)):
+                most = (np.maximum(size[i], size2) * (1 - SIMILARITY) + 1e-9).astype(np.int64)
+                apart = bag2 - bag[i]
+                more = np.maximum(apart, 0).sum(axis=1)
+                # words of either that the other hasn't, as far as the bags tell; pairs outside the largest component come once
+                may = (np.maximum(more, more - apart.sum(axis=1)) <= most) & (root2 != root[i]) & ((root2 == main) | (key2 > key[i]))
+                for j in np.flatnonzero(may).tolist():
+                    if min(opened[i] & opened2[j]) == here and similar(words[i], words2[j]):
+                        found.append((int(key[i]), int(key2[j])))
+        return pa.Table.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in range(2)], schema=kinds)
+
+    keys = ["h", "out_block", "all_block"]
+    return outside.groupBy(*keys).cogroup(every.groupBy(*keys)).applyInArrow(cell, out)
+
+
+def grouped(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of rows (row, id, text) in buckets by row: signs; node, root of every node; root, class_id, kept (a row), n_texts of every class.
+
+    A class keeps its row of the smallest id, null ids last; of several such rows that of the smallest digest, then the first.
+    """
+    signs = bucketed(signed(rows.select("row", "id", "text")), "row", "signs", dealt=True)
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "node", F.col("row").alias("key"))).alias("first")
+    nodes = written(signs.select("row", "id", "node").groupBy("node").agg(first).select("node", "first.no_id", "first.id", "first.key"), "nodes")
+    roots = linked(signs, nodes, rows)
+    named = written(nodes.join(roots.select(F.col("a").alias("key"), F.col("b").alias("root")), "key", "left").withColumn("root", F.coalesce("root", "key")), "roots")
+    least = F.min(F.struct("no_id", "id", "node", "key")).alias("first")
+    groups = written(named.groupBy("root").agg(least, F.count("*").alias("n_texts")).select("root", F.col("first.id").alias("class_id"), F.col("first.key").alias("kept"), "n_texts"), "groups")
+    return signs, named.select("node", "root"), groups
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, class_id (the smallest doc_id of the class), n_texts (different word sequences in the class) of every row."""
-    signs = written(signed(docs, id_col, text_col), "signs")
-    roots = linked(signs, docs, id_col, text_col)
-    least = signs.groupBy("node").agg(F.min("id").alias("id"))
-    named = least.join(roots.select(F.col("a").alias("node"), F.col("b").alias("root")), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    groups = named.groupBy("root").agg(F.min("id").alias("class_id"), F.count("*").alias("n_texts"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
+    signs, named, groups = grouped(bucketed(rows, "row", "rows"))
     by_node = written(named.join(groups, "root").select("node", "class_id", "n_texts"), "classes")
     return signs.select(F.col("id").alias(id_col), "node").join(by_node, "node").select(id_col, "class_id", "n_texts")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs whose id names their class, one of rows that repeat one. Rows with a null id stay."""
-    named = written(classes(docs, id_col, text_col), "named")
-    kept = named.where(F.col(id_col) == F.col("class_id")).select(F.col(id_col).alias("_kept")).distinct()
-    stay = docs.join(kept, docs[id_col].cast("long") == kept["_kept"], "left_semi")
-    if named.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").isEmpty():
-        once = stay
-    else:
-        once = stay.dropDuplicates([id_col])
-    return once.unionByName(docs.where(docs[id_col].isNull()))
+    """The rows of docs that their class keeps: one of each class, that of the smallest id; a null id comes after all others."""
+    name = "row"
+    while name.lower() in map(str.lower, docs.columns):
+        name += "_"
+    whole = bucketed(docs.withColumn(name, F.monotonically_increasing_id()), name, "rows")
+    rows = whole.select(F.col(name).alias("row"), whole[id_col].cast("long").alias("id"), whole[text_col].cast("string").alias("text"))
+    kept = grouped(rows)[2].select(F.col("kept").alias(name))
+    return whole.join(kept.hint("shuffle_hash"), name, "left_semi").select(*(whole[c] for c in docs.columns))
