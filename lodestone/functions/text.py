@@ -5,7 +5,7 @@ White space is Unicode's. Functions never drop to Python, so they stay in whole-
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -18,40 +18,62 @@ ATTRIBUTION = ("argues", "argue", "finds", "find", "shows", "show", "reports", "
 HEADINGS = ("acknowledgements", "acknowledgment", "references", "reference", "table", "tables", "figure", "figures", "quote", "quotes")
 QUANTITY = r"(?iU)(\b\d+(?:[.,]\d+)?%\b|\$\s?\d+(?:[.,]\d+)?|\b\d+(?:[.,]\d+)?\s*(?:billion|million|tonnes|tons|kt|mt)\b|\b\d{4}\b)"
 NUMBERED_HEADING = r"(?iU)^(table|figure|fig\.?|appendix|chapter|section)\s+[A-Za-z0-9\-]+(?:\s+[A-Za-z0-9\-]+)*(?:[:.-]+)?$"
-LABEL_LINE = r"(?U)^[A-Za-z][A-Za-z\s]{0,40}:$"
 QUOTES = (('"', '"'), ("'", "'"), ("“", "”"))
 
 #: Between two sentences: after ! or ?, or after a dot that doesn't stand between digits.
 SENTENCE_END = r"(?U)(?<=[!?])|(?<=\.)(?!(?<=\d\.)\d)"
 
 
+#: White space of Unicode with the ASCII separators 1C to 1F, but for the space, as a part of a character class.
+ODD_SPACE = r"\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACES = "".join(map(chr, (*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+BLOCK = 128  # pieces whose starts are summed up together
+
+
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of the value, which is computed once for all places where f uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def normalized(text: Column) -> Column:
     """Runs of white space as one space, none at the ends."""
-    return F.regexp_replace(F.regexp_replace(text, r"(?U)[\s\x1c-\x1f]+", " "), "^ | $", "")
+    return F.trim(F.regexp_replace(text, rf"[ {ODD_SPACE}]{{2,}}|[{ODD_SPACE}]", " "))
 
 
 def stripped(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
+    return F.trim(text, F.lit(SPACES))
 
 
 def running_starts(pieces: Column) -> Column:
-    """Where each piece of an array of strings starts in their concatenation."""
-    empty = F.struct(F.array().cast("array<int>").alias("starts"), F.lit(0).alias("upto"))
-    step = lambda acc, p: F.struct(F.concat(acc["starts"], F.array(acc["upto"])).alias("starts"), (acc["upto"] + F.length(p)).alias("upto"))
-    return F.aggregate(pieces, empty, step, lambda acc: acc["starts"])
+    """Where each piece of an array of strings starts in their concatenation.
+
+    Adding to an array copies it, so blocks of pieces are summed up first, and then the pieces of each block.
+    """
+
+    def sums(lengths: Column, start: Column) -> Column:
+        empty = F.struct(F.array().cast("array<int>").alias("starts"), start.cast("int").alias("upto"))
+        step = lambda acc, n: F.struct(F.concat(acc["starts"], F.array(acc["upto"])).alias("starts"), (acc["upto"] + n).alias("upto"))
+        return F.aggregate(lengths, empty, step, lambda acc: acc["starts"])
+
+    def of(lengths: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / BLOCK).cast("int")), lambda k: F.slice(lengths, k * BLOCK + 1, F.lit(BLOCK)))
+        totals = F.transform(blocks, lambda x: F.aggregate(x, F.lit(0), lambda a, n: a + n))
+        return bound(blocks, lambda x: F.flatten(F.zip_with(x, sums(totals, F.lit(0)), sums)))
+
+    return bound(F.transform(pieces, F.length), lambda lengths: F.when(F.size(lengths) > BLOCK, of(lengths)).otherwise(sums(lengths, F.lit(0))))
 
 
 def sentences(text: Column) -> Column:
     """array<struct<text, start_char, end_char>>: sentences with their offsets; blank ones dropped, an unfinished last one kept."""
-    pieces = F.split(F.coalesce(text, F.lit("")), SENTENCE_END)
 
     def one(piece: Column, start: Column) -> Column:
-        left = F.regexp_replace(piece, r"(?U)^[\s\x1c-\x1f]+", "")
-        body = F.regexp_replace(left, r"(?U)[\s\x1c-\x1f]+\z", "")
+        left = F.ltrim(piece, F.lit(SPACES))
+        body = F.rtrim(left, F.lit(SPACES))
         at = start + F.length(piece) - F.length(left)
         return F.struct(body.alias("text"), at.cast("int").alias("start_char"), (at + F.length(body)).cast("int").alias("end_char"))
 
-    return F.filter(F.zip_with(pieces, running_starts(pieces), one), lambda s: s["text"] != "")
+    cut = lambda pieces: F.filter(F.zip_with(pieces, running_starts(pieces), one), lambda s: s["text"] != "")
+    return bound(F.split(F.coalesce(text, F.lit("")), SENTENCE_END), cut)
 
 
 def sentence_count(text: Column) -> Column:
@@ -63,17 +85,19 @@ def contains_any(text: Column, phrases: Sequence[str]) -> Column:
 
 
 def has_quantity(text: Column) -> Column:
-    return text.rlike(QUANTITY)
+    """Every quantity has a digit, which is far quicker to look for."""
+    return text.rlike(r"\p{Nd}") & text.rlike(QUANTITY)
 
 
 def bare_end(text: Column) -> Column:
-    return F.regexp_replace(text, r"[.:;,-]+\z", "")
+    return F.rtrim(text, F.lit(".:;,-"))
 
 
 def quoted(text: Column) -> Column:
-    t = bare_end(stripped(text))
-    wrapped = reduce(lambda a, b: a | b, (F.startswith(t, F.lit(x)) & F.endswith(t, F.lit(y)) for x, y in QUOTES))
-    return (F.length(t) >= 2) & wrapped
+    def wrapped(t: Column) -> Column:
+        return (F.length(t) >= 2) & reduce(lambda a, b: a | b, (F.startswith(t, F.lit(x)) & F.endswith(t, F.lit(y)) for x, y in QUOTES))
+
+    return bound(bare_end(stripped(text)), wrapped)
 
 
 def boundary_clean(text: Column) -> Column:
@@ -81,29 +105,45 @@ def boundary_clean(text: Column) -> Column:
 
 
 def skippable(sentence: Column) -> Column:
-    """Headings, labels, table rows, quotations: sentences that make no claim."""
-    n = normalized(sentence)
-    return (
-        bare_end(F.lower(n)).isin(*HEADINGS) | n.rlike(NUMBERED_HEADING) | n.rlike(LABEL_LINE) | F.endswith(n, F.lit(":")) | F.endswith(n, F.lit(":."))
-        | F.contains(n, F.lit("|")) | F.startswith(n, F.lit(">")) | quoted(n)
-    )
+    """Headings, labels (they end with a colon), table rows, quotations: sentences that make no claim."""
 
+    def of(n: Column) -> Column:
+        return (
+            F.endswith(n, F.lit(":")) | F.endswith(n, F.lit(":.")) | F.contains(n, F.lit("|")) | F.startswith(n, F.lit(">"))
+            | bare_end(F.lower(n)).isin(*HEADINGS) | quoted(n) | n.rlike(NUMBERED_HEADING)
+        )
 
-def cue_score(sentence: Column, weights: Sequence[float] = (1.0, 0.8, 0.6, 0.3), modality: Sequence[str] = MODALITY, causal: Sequence[str] = CAUSAL, attribution: Sequence[str] = ATTRIBUTION) -> Column:
+    return bound(normalized(sentence), of)
+
+
+def cues(sentence: Column, modality: Sequence[str] = MODALITY, causal: Sequence[str] = CAUSAL, attribution: Sequence[str] = ATTRIBUTION) -> Column:
+    """struct<modality, quantity, causal, attribution>: which cues the sentence has."""
+    return bound(F.lower(sentence), lambda low: F.struct(contains_any(low, modality).alias("modality"), has_quantity(sentence).alias("quantity"), contains_any(low, causal).alias("causal"), contains_any(low, attribution).alias("attribution")))
+
+
+def cue_score(sentence: Column, weights: Sequence[float] = (1.0, 0.8, 0.6, 0.3), **lexicons: Sequence[str]) -> Column:
     """Weights of modality, quantity, cause and attribution, added in that order."""
-    low = F.lower(sentence)
-    hits = (contains_any(low, modality), has_quantity(sentence), contains_any(low, causal), contains_any(low, attribution))
-    return reduce(lambda a, b: a + b, (F.when(h, F.lit(w)).otherwise(F.lit(0.0)) for h, w in zip(hits, weights, strict=True)))
+    return bound(cues(sentence, **lexicons), lambda c: weighed(c, weights))
+
+
+def weighed(cues: Column, weights: Sequence[float] = (1.0, 0.8, 0.6, 0.3)) -> Column:
+    names = ("modality", "quantity", "causal", "attribution")
+    return reduce(lambda a, b: a + b, (F.when(cues[n], F.lit(w)).otherwise(F.lit(0.0)) for n, w in zip(names, weights, strict=True)))
+
+
+def scored_sentences(text: Column, weights: Sequence[float] = (1.0, 0.8, 0.6, 0.3), **lexicons: Sequence[str]) -> Column:
+    """`sentences` with skipped, cues and score of each: to be exploded, so that no later filter computes them again."""
+    one = lambda s: F.struct(s["text"].alias("text"), s["start_char"].alias("start_char"), s["end_char"].alias("end_char"), skippable(s["text"]).alias("skipped"), cues(s["text"], **lexicons).alias("cues"))
+    return F.transform(F.transform(sentences(text), one), lambda s: s.withField("score", weighed(s["cues"], weights)))
 
 
 def match_value(text: Column) -> Column:
-    """Lower case, anything but a-z, 0-9 and white space as a space, spaces collapsed."""
-    return normalized(F.regexp_replace(F.lower(text), r"(?U)[^a-z0-9\s]", " "))
+    """Lower case, anything but a-z and 0-9 as a space, spaces collapsed."""
+    return F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "))
 
 
 def canonical_name(text: Column) -> Column:
-    n = normalized(F.regexp_replace(stripped(F.lower(text)), r"(?U)[^a-z0-9\s]", " "))
-    return F.regexp_replace(n, "^the ", "")
+    return F.regexp_replace(match_value(text), "^the ", "")
 
 
 def catalog_tokens(text: Column) -> Column:

@@ -34,20 +34,21 @@ def sentence_rows(chunks: DataFrame) -> DataFrame:
     return s.select(*SPINE, "chunk_text", "position", "s.text", "s.start_char", "s.end_char")
 
 
+def scored_rows(chunks: DataFrame, **options) -> DataFrame:
+    """sentence_rows with skipped, cues and score, each computed once."""
+    s = chunks.select(*SPINE, F.posexplode(text.scored_sentences(F.col("chunk_text"), **options)).alias("position", "s"))
+    return s.select(*SPINE, "position", "s.*")
+
+
 def rule_claims(chunks: DataFrame, threshold: float = 0.8, weights: Sequence[float] = (1.0, 0.8, 0.6, 0.3), version: str = "rules-v1", **lexicons) -> DataFrame:
     """Sentences whose cues' weights reach the threshold; the score, at most 1, is the confidence. One claim a sentence; JVM only."""
-    s = sentence_rows(chunks).where(~text.skippable(F.col("text"))).withColumn("score", text.cue_score(F.col("text"), weights, **lexicons))
-    hits = s.where(F.col("score") >= threshold)
+    hits = scored_rows(chunks, weights=weights, **lexicons).where(~F.col("skipped") & (F.col("score") >= threshold))
     return claim_rows(hits.select(*SPINE, "start_char", "end_char", F.col("text").alias("evidence_text"), F.least(F.lit(1.0), "score").alias("confidence")), version)
 
 
 def score_breakdown(chunks: DataFrame) -> DataFrame:
     """Each sentence's cues and score, skippable ones marked."""
-    s, low = sentence_rows(chunks), F.lower("text")
-    return s.select(
-        "chunk_id", "position", "start_char", "end_char", text.contains_any(low, text.MODALITY).alias("modality"), text.has_quantity(F.col("text")).alias("quantity"),
-        text.contains_any(low, text.CAUSAL).alias("causal"), text.contains_any(low, text.ATTRIBUTION).alias("attribution"), text.skippable(F.col("text")).alias("skipped"), text.cue_score(F.col("text")).alias("score"),
-    )
+    return scored_rows(chunks).select("chunk_id", "position", "start_char", "end_char", "cues.*", "skipped", "score")
 
 
 def aligned(body: str, needle: str, used: set[tuple[int, int]]) -> tuple[int, int] | None:
