@@ -4,8 +4,9 @@ A text is cut into paragraphs at line ends, and those further at sentence and cl
 long paragraph stays local. Each piece has a 64-bit key: 44 bits of digest (of its bytes and of how many equal pieces
 stand before it) and its length in 20 bits. A sketch is a table of cells (count, XOR of keys, XOR of checks); every
 key goes into three of them. The sketches of two versions subtract cell by cell; peeling cells with one key left
-recovers the keys that only one version has. A table too small for the difference fails to peel, and a larger one is
-tried. Likeness is the part of bytes that both versions share, of all bytes of either.
+recovers the keys that only one version has. Where the fingerprints' own tables are too small for the difference they
+fail to peel, and tables of the same keys in larger sizes are tried, each with hashes of its own, until they peel; the
+size that did is returned with each likeness. Likeness is the part of bytes that both versions share, of all bytes of either.
 
 Defined results: a null text counts as empty; two empty texts have likeness 1; equal texts have equal fingerprints;
 texts of any length are read whole; equal rows give equal rows; ties of doc_id are ordered by text; an empty table
@@ -163,28 +164,18 @@ def sketch(pieces: Pieces, which: np.ndarray, cells: int) -> Sketch:
     return s
 
 
-def differing(a: Pieces, i: np.ndarray, b: Pieces, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For pairs (a's text i, b's text j): keys that one side alone has, the pair of each, and its sign (1: a's).
+def peeled(a: Pieces, i: np.ndarray, b: Pieces, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For pairs (a's text i, b's text j): keys that one side alone has, the pair of each, and its sign (1: a's); and for each pair the cells that peeled.
 
     The first tables have the fingerprint's size. Where they don't peel, their counts tell about how many keys differ
     (signs average out, so that the squares of a third's counts add up to that number), and tables of two cells for each
-    of those are tried, then twice as large ones until they peel. Beyond eight cells for each key that either side has,
-    the few pairs left (keys with the same cells at every size) are compared exactly.
+    of those are tried, then twice as large ones until they peel.
     """
     keys, pair, sign = [], [], []
     keys_of = (a.first[i + 1] - a.first[i]) + (b.first[j + 1] - b.first[j])
     size = np.full(len(i), CELLS)
     left = np.arange(len(i))
     while len(left):
-        over = size[left] > 8 * keys_of[left] + 64 * CELLS
-        for k in left[over]:
-            x, y = a.keys[a.first[i[k]] : a.first[i[k] + 1]], b.keys[b.first[j[k]] : b.first[j[k] + 1]]
-            for own, other, s in ((x, y, 1), (y, x, -1)):
-                only = np.setdiff1d(own, other)
-                keys.append(only)
-                pair.append(np.full(len(only), k))
-                sign.append(np.full(len(only), s))
-        left = left[~over]
         again = []
         sizes = size[left]
         for cells in np.unique(sizes).tolist():
@@ -203,15 +194,23 @@ def differing(a: Pieces, i: np.ndarray, b: Pieces, j: np.ndarray) -> tuple[np.nd
                 again.append(failed)
                 size[failed] = rounded(np.maximum(2 * cells, 2 * np.minimum(squares[~empty], keys_of[failed])))
         left = np.concatenate(again) if again else left[:0]
-    return tuple(np.concatenate(x) if x else np.zeros(0, t) for x, t in ((keys, np.uint64), (pair, np.int64), (sign, np.int64)))
+    return *(np.concatenate(x) if x else np.zeros(0, t) for x, t in ((keys, np.uint64), (pair, np.int64), (sign, np.int64))), size
+
+
+def differing(a: Pieces, i: np.ndarray, b: Pieces, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return peeled(a, i, b, j)[:3]
 
 
 def likeness(a: Pieces, i: np.ndarray, b: Pieces, j: np.ndarray) -> np.ndarray:
-    keys, pair, _ = differing(a, i, b, j)
+    return likeness_and_cells(a, i, b, j)[0]
+
+
+def likeness_and_cells(a: Pieces, i: np.ndarray, b: Pieces, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    keys, pair, _, cells = peeled(a, i, b, j)
     apart = np.bincount(pair, (keys & U((1 << 20) - 1)).astype(np.float64), len(i))
     shared = (a.size[i] + b.size[j] - apart) / 2
     total = shared + apart
-    return np.clip(np.where(total > 0, shared / np.maximum(total, 1), 1.0), 0.0, 1.0)
+    return np.clip(np.where(total > 0, shared / np.maximum(total, 1), 1.0), 0.0, 1.0), cells
 
 
 def fingerprints_of(pieces: Pieces) -> list[str]:
@@ -246,10 +245,11 @@ def compared(rows: list[tuple[int | None, str]], following: list[str]) -> list:
     n = len(rows)
     at = np.arange(n)
     marks = fingerprints_of(own)[:n]
-    return [[d for d, _ in rows], list(map(len, texts)), [hashlib.sha256(x).hexdigest() for x in new], marks, fingerprints_of(other), likeness(own, at, other, at).tolist(), likeness(own, at, own, at + 1).tolist()]
+    (near_edited, edited_cells), (near_next, next_cells) = likeness_and_cells(own, at, other, at), likeness_and_cells(own, at, own, at + 1)
+    return [[d for d, _ in rows], list(map(len, texts)), [hashlib.sha256(x).hexdigest() for x in new], marks, fingerprints_of(other), near_edited, near_next, edited_cells, next_cells]
 
 
-SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, edited_cells int, next_cells int"
 
 
 def fingerprint_report(docs: DataFrame, block_bytes: int = 1 << 20, ranges: int | None = None) -> DataFrame:
