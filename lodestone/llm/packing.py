@@ -107,8 +107,9 @@ def packed(docs: DataFrame, lengths: Sequence[int] = LENGTHS, per_shard: int = P
     out, kinds = schemas("doc_id long, copy long, piece int, start long, n_tokens int, bin_id string, bin_length int, bin_offset int")
 
     def one(t: pa.Table) -> pa.Table:
-        sizes, ids = t.column("n_tokens").to_numpy(), t.column("doc_id").to_numpy(zero_copy_only=False)
-        order = np.lexsort((t.column("piece").to_numpy(), t.column("copy").to_numpy(), np.nan_to_num(ids.astype(np.float64), nan=-1.0), -sizes.astype(np.int64)))
+        sizes, ids = t.column("n_tokens").to_numpy(), t.column("doc_id")
+        # nulls first, then ids as whole numbers, so that the order never depends on the shuffle's
+        order = np.lexsort((t.column("piece").to_numpy(), t.column("copy").to_numpy(), ids.fill_null(0).to_numpy(), ids.is_valid().to_numpy(), -sizes.astype(np.int64)))
         place, bins = pack(sizes[order].tolist(), lengths)
         shard, offset, at = t.column("shard")[0].as_py(), [0] * len(bins), []
         for b, n in zip(place, sizes[order].tolist(), strict=True):
