@@ -1,6 +1,7 @@
 """Sharding along a Hilbert curve.
 
-Several metadata dimensions are quantised into bins of about equal counts; a row's bins are a point of a cube, and the
+Several metadata dimensions are quantised into bins cut at quantiles of their rows, so that counts are about equal but
+for values that many rows share; strings are ordered by seven bytes after what all of them begin with. A row's bins are a point of a cube, and the
 Hilbert curve through the cube orders the rows so that neighbours on it are neighbours in every dimension. Runs of the
 order are the shards: each covers a small range of all dimensions at once, which min/max statistics can prune by.
 
@@ -48,26 +49,37 @@ def hilbert_index(points: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def text_code(c: Column) -> Column:
-    """A number that orders strings by their first seven bytes."""
-    return F.conv(F.rpad(F.hex(F.substring(c.cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("long")
+def text_code(c: Column, skip: int = 0) -> Column:
+    """A number that orders strings by seven bytes after the first skip ones."""
+    return F.conv(F.rpad(F.hex(F.substring(c.cast("binary"), skip + 1, 7)), 14, "0"), 16, 10).cast("long")
 
 
-def code_of(df: DataFrame, name: str) -> Column:
-    kind = dict(df.dtypes)[name]
-    if kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("decimal"):
-        return df[name].cast("double")
-    if kind in ("date", "timestamp", "timestamp_ntz"):
-        return df[name].cast("timestamp").cast("double")
-    return text_code(df[name].cast("string")).cast("double")
+def is_number(kind: str) -> bool:
+    return kind in ("tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz") or kind.startswith("decimal")
+
+
+def codes_of(df: DataFrame, names: list[str]) -> list[Column]:
+    """Numbers that order each column's values."""
+    kinds = dict(df.dtypes)
+    texts = [n for n in names if not is_number(kinds[n])]
+    ends = df.agg(*(f(df[n].cast("string")) for n in texts for f in (F.min, F.max))).first() if texts else ()
+    skip = {}
+    for n, low, high in zip(texts, ends[::2], ends[1::2], strict=True):
+        low, high = ((x or "").encode("utf-8", "surrogatepass") for x in (low, high))  # what both ends begin with all strings begin with
+        skip[n] = next((i for i, (a, b) in enumerate(zip(low, high, strict=False)) if a != b), min(len(low), len(high)))
+    out = []
+    for n in names:
+        if n in skip:
+            out.append(text_code(df[n].cast("string"), skip[n]).cast("double"))
+        else:
+            out.append((df[n].cast("timestamp") if kinds[n] in ("date", "timestamp", "timestamp_ntz") else df[n]).cast("double"))
+    return out
 
 
 def with_curve(coded: DataFrame, dims: list[str], bits: int = BITS) -> DataFrame:
-    """coded with `curve`: the Hilbert place of its quantised columns dims (doubles, null: the lowest bin). Bins are cut at quantiles of the distinct values."""
-    cuts = []
-    for d in dims:
-        q = coded.select(d).where(F.col(d).isNotNull()).distinct().agg(F.percentile_approx(d, [k / (1 << bits) for k in range(1, 1 << bits)], 10000)).first()[0]
-        cuts.append(np.array(sorted(set(q or [])), np.float64))
+    """coded with `curve`: the Hilbert place of its quantised columns dims (doubles, null: the lowest bin). Bins are cut at quantiles of the rows."""
+    parts = [k / (1 << bits) for k in range(1, 1 << bits)]
+    cuts = [np.array(sorted(set(q or [])), np.float64) for q in coded.agg(*(F.percentile_approx(d, parts, 10000) for d in dims)).first()]
     at = [coded.columns.index(d) for d in dims]
     out = coded.select("*", F.lit(0).cast("long").alias("curve"))
 
@@ -88,7 +100,7 @@ def hilbert_shards(df: DataFrame, dims: list[str], keep: list[str], tie: list[st
     The columns that go through the sort are these alone, not the texts.
     """
     names = [f"dim_{d}" for d in dims]
-    coded = written(df.select(*keep, *(code_of(df, d).alias(n) for d, n in zip(dims, names, strict=True))), "coded")
+    coded = written(df.select(*keep, *(c.alias(n) for c, n in zip(codes_of(df, dims), names, strict=True))), "coded")
     order = [F.col("curve"), *(F.col(c).asc_nulls_first() for c in tie)]
     placed = numbered(written(with_curve(coded, names, bits), "curve"), order, "place")
     place, n = F.col("place"), F.col("place_count")
