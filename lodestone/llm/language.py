@@ -165,7 +165,10 @@ def train(rows: list[tuple[str, str]], bits: int = 16, width: int = 16, epochs:
         part = learnt(np.flatnonzero(fold != k) if folds > 1 else kept_out)
         z[kept_out], met[kept_out] = logits([rows[i][0] for i in kept_out], part)
         model = model or part
-    loss = {t: -np.log(np.maximum(1e-12, softmax(z / t)[np.arange(len(rows)), y])).mean() for t in 2.0 ** np.arange(-4, 4.25, 0.25)}
+    # targets a little below one, as for a row more that was wrong: rows without an error alone would ask for no temperature at all
+    target = np.full(z.shape, 1 / (len(rows) + 2) / max(1, len(languages) - 1))
+    target[np.arange(len(rows)), y] = (len(rows) + 1) / (len(rows) + 2)
+    loss = {t: -(target * np.log(np.maximum(1e-300, softmax(z / t)))).sum(axis=1).mean() for t in 2.0 ** np.arange(-8, 8.25, 0.25)}
     model.temperature = float(min(loss, key=loss.get))
     p = softmax(z / model.temperature)
     model.threshold = low_quantile(np.minimum(1.0, p.max(axis=1) * met), reject)
