@@ -21,12 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir, which driver and executors share.
 
-    Only where the session names no folder (local tests) is a temporary one set.
+    Only where a local session names no folder is a temporary one set; on a cluster that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="lodestone-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/lodestone-{uuid.uuid4().hex}"
