@@ -30,6 +30,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +48,8 @@ SMALL = 16  # nodes of a bucket up to which all its open pairs are compared afte
 ROUNDS = 3  # of leaders in larger buckets, at most, after the first
 HUB_BLOCK = 256  # nodes, about, that are compared with one copy of a leader's text
 BAG = 64  # counts of a text's words by hash, which bound the edit distance of many pairs at once
-ONE_TASK = 20_000  # edges
-OUTSIDE_BLOCK, ALL_BLOCK = 64, 256  # nodes, about, of either side of a block of the last comparison
+ONE_TASK = 200_000  # edges that one task joins up, at most: a few MB
+OUTSIDE_BLOCK, ALL_BLOCK = 128, 512  # nodes, about, of either side of a block of the last comparison
 _seeds = np.random.default_rng(9)
 XOR = _seeds.integers(0, 1 << 63, SKETCHES, dtype=np.uint64)
 ODD = _seeds.integers(0, 1 << 63, SKETCHES, dtype=np.uint64) * U(2) + U(1)
@@ -228,9 +229,10 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def joined_up(edges: pa.Table) -> pa.Table:
-    """The same as `stars` for edges in one table, by union and find."""
+def joined_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same as `stars` for edges (a, b) in one task, by union and find."""
     up: dict = {}
+    kinds = None
 
     def top(x):
         while (y := up.get(x, x)) != x:
@@ -238,12 +240,15 @@ def joined_up(edges: pa.Table) -> pa.Table:
             x = y
         return x
 
-    for a, b in zip(edges.column("a").to_pylist(), edges.column("b").to_pylist(), strict=True):
-        x, y = sorted((top(a), top(b)))
-        up[y] = x
-        up.setdefault(x, x)
+    for batch in batches:
+        kinds = batch.schema
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            x, y = sorted((top(a), top(b)))
+            up[y] = x
+            up.setdefault(x, x)
     found = [(x, r) for x in up if (r := top(x)) != x]
-    return pa.table({name: pa.array([f[k] for f in found], edges.column(name).type) for k, name in enumerate("ab")})
+    if found:
+        yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], kinds.field(k).type) for k in range(2)], schema=kinds)
 
 
 def stars(links: DataFrame) -> DataFrame:
@@ -254,7 +259,7 @@ def stars(links: DataFrame) -> DataFrame:
     """
     edges = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
     if edges.count() <= ONE_TASK:
-        return written(edges.groupBy(F.col("a").isNull().alias("all")).applyInArrow(joined_up, edges.schema), "stars")
+        return written(edges.coalesce(1).mapInArrow(joined_up, edges.schema), "stars")
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -294,35 +299,41 @@ def linked(signs: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
     left = written(posted.join(sizes, "h").select("h", "key", "n_words", F.col("key").alias("root"), "k"), "posted")
     wanted = left.select(F.col("key").alias("row")).distinct()
     texts = bucketed(rows.join(wanted.hint("shuffle_hash"), "row").select(F.col("row").alias("key"), "text"), "key", "texts", dealt=True)
-    roots = seen = signs.sparkSession.createDataFrame([], "a long, b long")
+    roots = seen = None
     stuck = False
     for turn in range(ROUNDS + 2):
-        if turn:
+        if roots is not None:
             new = roots.select(F.col("a").alias("key"), F.col("b").alias("new"))
             left = written(left.join(new, "key", "left").select("h", "key", "n_words", F.coalesce("new", "key").alias("root")), "named")
         # minima alone, so that the rows of one bucket are combined before they are shuffled
         lead = F.min(F.struct(F.xxhash64("key", F.lit(turn)), F.col("key"), F.col("n_words"), F.col("root")))
         open_ = written(left.groupBy("h").agg(lead.alias("lead"), F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("h", "n", "lead"), "open")
-        if open_.isEmpty():
+        if roots is not None and open_.isEmpty():
             break
         left = written(left.select("h", "key", "n_words", "root").join(open_, "h"), "left")
-        rest = None
-        if turn:
+        whole, rest = left, None
+        if roots is not None:
             small, left = left.where(F.col("n") <= SMALL), left.where(F.col("n") > SMALL)
             a, b = small.alias("a"), small.alias("b")
             apart = (F.col("a.key") < F.col("b.key")) & (F.col("a.root") != F.col("b.root")) & close("a.n_words", "b.n_words")
             rest = a.join(b, (F.col("a.h") == F.col("b.h")) & apart).select(F.col("a.key").alias("a"), F.col("b.key").alias("b"), F.col("a.n").alias("n"))
-        if turn > ROUNDS or stuck:
-            found = verified(fresh_pairs(rest, seen), texts).unionByName(across(left, texts))
-            return merged(roots, written(found, "links"))
+            if turn > ROUNDS or stuck:
+                found = verified(fresh_pairs(rest, seen), texts).unionByName(across(left, texts))
+                return merged(roots, written(found, "links"))
         led = left.where((F.col("root") != F.col("lead.root")) & close("n_words", "lead.n_words")).select(F.col("lead.key").alias("a"), F.col("key").alias("b"), "n")
-        fresh = written(fresh_pairs(led if rest is None else led.unionByName(rest), seen), "pairs")
+        if roots is None:
+            # at first a node meets the one leader alone that it shares most sketches with: that joins most of what belongs together
+            shared = led.groupBy("a", "b").agg(F.count("*").alias("k"), F.max("n").alias("n"))
+            fresh = written(shared.groupBy("b").agg(F.max_by(F.struct("a", "n"), F.struct("k", "a")).alias("x")).select("x.a", "b", "x.n"), "pairs")
+            links = written(verified(fresh, texts), "links")
+            roots, left, seen = stars(links), whole, fresh.select("a", "b")
+            continue
+        fresh = written(fresh_pairs(led.unionByName(rest), seen), "pairs")
         links = written(verified(fresh, texts), "links")
         roots = merged(roots, links)
-        if turn:
-            if left.isEmpty():
-                break
-            stuck = links.count() < 0.1 * fresh.count()  # other leaders would find as little
+        if left.isEmpty():
+            break
+        stuck = links.count() < 0.1 * fresh.count()  # other leaders would find as little
         seen = seen.unionByName(fresh.select("a", "b"))
     return roots
 
@@ -333,23 +344,31 @@ def fresh_pairs(pairs: DataFrame, seen: DataFrame) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.max("n").alias("n")).join(both, ["a", "b"], "left_anti")
 
 
-def bag_of(words: list[bytes]) -> np.ndarray:
-    return np.bincount([zlib.crc32(w) % BAG for w in words], minlength=BAG).astype(np.int32)
+def with_bags(rows: DataFrame) -> DataFrame:
+    """rows (key, open, text) with bag: how many words of the text have each of BAG hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.bincount([zlib.crc32(w) % BAG for w in words_of(t)], minlength=BAG).astype(np.int32).tobytes() for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], ["key", "open", "text", "bag"])
+
+    return rows.select("key", "open", "text").mapInArrow(run, "key long, open array<long>, text string, bag binary")
 
 
 def across(left: DataFrame, texts: DataFrame) -> DataFrame:
     """Links between nodes of different components that share a bucket of left, each pair looked at in its first such bucket.
 
     In each bucket the nodes outside its largest component meet all nodes, in blocks of both: texts go to the blocks,
-    and pairs exist only while a block is at work.
+    and pairs exist only while a block is at work. Bags of words rule out most of a block's pairs at once; only what is
+    left is split into words and aligned.
     """
     parts = left.groupBy("h", "root").agg(F.count("*").alias("k"))
     sizes = written(parts.groupBy("h").agg(F.sum("k").alias("k"), F.max("k").alias("k_main"), F.max_by("root", F.struct("k", "root")).alias("main")), "sizes")
-    own = left.groupBy("key").agg(F.collect_list("h").alias("open")).join(texts, "key")  # a number a sketch at most
+    own = with_bags(left.groupBy("key").agg(F.collect_list("h").alias("open")).join(texts, "key"))  # a number a sketch at most
     rows = left.select("h", "key", "root").join(sizes, "h")
     rows = rows.select("h", "key", "root", "main", F.ceil(F.col("k") / ALL_BLOCK).cast("int").alias("n_all"), F.ceil((F.col("k") - F.col("k_main")) / OUTSIDE_BLOCK).cast("int").alias("n_out"))
     rows = written(rows.join(own, "key"), "blocks")
-    columns = ["h", "out_block", "all_block", "key", "root", "main", "open", "text"]
+    columns = ["h", "out_block", "all_block", "key", "root", "main", "open", "text", "bag"]
     spread = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     place = lambda n, salt: F.pmod(F.xxhash64("key", F.lit(salt)), n).cast("int")
     outside = rows.where("root <> main").withColumn("out_block", place(F.col("n_out"), 1)).withColumn("all_block", spread(F.col("n_all"))).select(*(F.col(c).alias(c) for c in columns))
@@ -359,13 +378,17 @@ def across(left: DataFrame, texts: DataFrame) -> DataFrame:
     def cell(ones: pa.Table, others: pa.Table) -> pa.Table:
         found: list[tuple[int, int]] = []
         if ones.num_rows and others.num_rows:
-            here = ones.column("h")[0].as_py()
-            both = []
-            for t in (ones, others):
-                words = [words_of(x) for x in t.column("text").to_pylist()]
-                both.append((t.column("key").to_numpy(), t.column("root").to_numpy(), np.array([len(w) for w in words]), np.array([bag_of(w) for w in words]), words, [set(x) for x in t.column("open").to_pylist()]))
-            (key, root, size, bag, words, opened), (key2, root2, size2, bag2, words2, opened2) = both
-            main = ones.column("main")[0].as_py()
+            here, main = ones.column("h")[0].as_py(), ones.column("main")[0].as_py()
+            (key, root, bag), (key2, root2, bag2) = ((t.column("key").to_numpy(), t.column("root").to_numpy(), np.frombuffer(b"".join(t.column("bag").to_pylist()), np.int32).reshape(-1, BAG)) for t in (ones, others))
+            size, size2 = bag.sum(axis=1), bag2.sum(axis=1)
+            opened: dict[tuple[int, int], set[int]] = {}
+            words: dict[tuple[int, int], list[bytes]] = {}
+
+            def of(seen: dict, side: int, i: int, make):
+                if (side, i) not in seen:
+                    seen[side, i] = make((ones, others)[side], i)
+                return seen[side, i]
+
             for i in range(len(key)):
                 most = (np.maximum(size[i], size2) * (1 - SIMILARITY) + 1e-9).astype(np.int64)
                 apart = bag2 - bag[i]
@@ -373,7 +396,8 @@ def across(left: DataFrame, texts: DataFrame) -> DataFrame:
                 # words of either that the other hasn't, as far as the bags tell; pairs outside the largest component come once
                 may = (np.maximum(more, more - apart.sum(axis=1)) <= most) & (root2 != root[i]) & ((root2 == main) | (key2 > key[i]))
                 for j in np.flatnonzero(may).tolist():
-                    if min(opened[i] & opened2[j]) == here and similar(words[i], words2[j]):
+                    both = of(opened, 0, i, lambda t, k: set(t.column("open")[k].as_py())) & of(opened, 1, j, lambda t, k: set(t.column("open")[k].as_py()))
+                    if min(both) == here and similar(of(words, 0, i, lambda t, k: words_of(t.column("text")[k].as_py())), of(words, 1, j, lambda t, k: words_of(t.column("text")[k].as_py()))):
                         found.append((int(key[i]), int(key2[j])))
         return pa.Table.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in range(2)], schema=kinds)
 
@@ -405,11 +429,12 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that their class keeps: one of each class, that of the smallest id; a null id comes after all others."""
+    """The rows of docs that their class keeps: one of each class, that of the smallest id. Rows with a null id stay."""
     name = "row"
     while name.lower() in map(str.lower, docs.columns):
         name += "_"
     whole = bucketed(docs.withColumn(name, F.monotonically_increasing_id()), name, "rows")
     rows = whole.select(F.col(name).alias("row"), whole[id_col].cast("long").alias("id"), whole[text_col].cast("string").alias("text"))
     kept = grouped(rows)[2].select(F.col("kept").alias(name))
-    return whole.join(kept.hint("shuffle_hash"), name, "left_semi").select(*(whole[c] for c in docs.columns))
+    once = whole.where(whole[id_col].isNotNull()).join(kept.hint("shuffle_hash"), name, "left_semi")
+    return once.unionByName(whole.where(whole[id_col].isNull())).select(*docs.columns)
