@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import argparse
 import sys
-from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
 from . import schemas
 from .operators import canonical, catalog, chunks, claims, entities, graph, validation
-from .sources import artifacts, files, jsonl
+from .sources import files, jsonl
 
 
 def parser() -> argparse.ArgumentParser:
@@ -36,6 +35,10 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+def counted(g: graph.Graph) -> dict[str, int]:
+    return {f"{r['kind']}:{r['type']}": r["n"] for r in graph.counts(g).collect()}  # a row a type
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     o = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("lodestone").config("spark.sql.session.timeZone", "UTC").getOrCreate()
@@ -52,6 +55,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             found = catalog.resolved(found, catalog.checked_seed(files.catalog_seed(spark, o.catalog)))
         print(jsonl.append_new(found, o.out, ["entity_id"]), "mentions added")
     else:
+        for label in ("chunks", "claims", "entities"):
+            files.require_file(spark, getattr(o, label), label)
         bad = validation.anomalies(*(jsonl.lines(spark, p) for p in (o.chunks, o.claims, o.entities)))
         cl, en = jsonl.read(spark, o.claims, schemas.CLAIM), canonical.canonical_entities(jsonl.read(spark, o.entities, schemas.MENTION))
         g = graph.evidence_graph(canonical.canonical_claims(cl, en), en, o.source_id)
@@ -60,10 +65,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         files.write_graph(g.nodes, g.edges, f"{o.out}/full")
         files.write_graph(kept.nodes, kept.edges, f"{o.out}/filtered")
         bad.write.mode("overwrite").json(f"{o.out}/anomalies")
-        now = datetime.now(timezone.utc).isoformat()
-        s = artifacts.summary(artifacts.artifact(g, now, limits), artifacts.artifact(kept, now, limits), bad, o.max_anomalies)
-        print(s)
-        return s["exit_code"]
+        print({"stats": counted(g), "filtered_stats": counted(kept), "anomalies": {r["category"]: r["n"] for r in validation.by_category(bad).collect()}})
+        return validation.exit_code(bad, o.max_anomalies)
     return 0
 
 

@@ -29,6 +29,16 @@ def imported(seed: DataFrame, stored: DataFrame) -> DataFrame:
     return fresh.join(stored.select("canonical_entity_key"), "canonical_entity_key", "left_anti")
 
 
+def import_report(seed: DataFrame, stored: DataFrame, version: str) -> DataFrame:
+    """One row: catalog_version, seed_hash, processed_records, inserted_records, vectors_written of an import of seed; vectors are made anew for every seed row."""
+    rows = checked_seed(seed)
+    n = rows.agg(F.count("*").alias("processed_records")).withColumn("vectors_written", F.col("processed_records"))
+    new = imported(seed, stored).agg(F.count("*").alias("inserted_records"))
+    digest = seed_hash(rows)
+    one = lambda df: df.withColumn("_k", F.lit(1))
+    return one(n).join(one(new), "_k").join(one(digest), "_k").select(F.lit(version).alias("catalog_version"), "seed_hash", "processed_records", "inserted_records", "vectors_written")
+
+
 def catalog_vectors(catalog: DataFrame) -> DataFrame:
     """The sidecar: each row's whitespace tokens of name and aliases."""
     words = F.concat_ws(" ", F.col("canonical_name"), F.col("aliases"))
@@ -125,15 +135,27 @@ DECISION = ("decision_status", "decision_score", "selected_candidate_key")
 
 
 def upserted(items: DataFrame, stored: DataFrame, now: str) -> DataFrame:
-    """Review items after an upsert by mention: new decisions set the state to pending and keep created_at; others stay."""
+    """Review items after an upsert by mention: new decisions set the state to pending and keep created_at; others stay. Of several new decisions on a mention the one of the largest score counts, then by status and key."""
     new = items.withColumn("review_state", F.lit("pending")).withColumn("created_at", F.lit(now)).withColumn("updated_at", F.lit(now))
     both = new.select("*", F.lit(1).alias("_new")).unionByName(stored.select("*", F.lit(0).alias("_new")))
     w = Window.partitionBy("mention_entity_id")
-    last = w.orderBy(F.desc("_new"))
+    last = w.orderBy(F.desc("_new"), F.desc("decision_score"), "decision_status", "selected_candidate_key")
     kept = both.withColumn("created_at", F.min("created_at").over(w)).withColumn("_n", F.row_number().over(last))
     return kept.where("_n = 1").drop("_n", "_new")
 
 
+def review_list(stored: DataFrame) -> DataFrame:
+    """The state of the queue, by mention."""
+    return stored.select("mention_entity_id", "decision_status", "decision_score", "review_state").orderBy("mention_entity_id")
+
+
+def resolved_and_queued(mentions: DataFrame, catalog: DataFrame, stored_items: DataFrame, stored_events: DataFrame, now: str, **options) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A resolution run: the resolved mentions, the queue after it, and the events that its log lacks."""
+    done = resolved(mentions, catalog, **options)
+    items = queued(done)
+    return done, upserted(items, stored_items, now), review_events(items, stored_events)
+
+
 def event_hash(*fields: Column) -> Column:
     return ids.full_hash(*fields)
 

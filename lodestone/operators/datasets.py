@@ -99,13 +99,17 @@ def evaluated(gold: DataFrame, predicted: DataFrame, keys: list[str] = SPAN) ->
     """scope (micro, type or chunk), value, tp, fp, fn, precision, recall, f1: all from one pass over grouping sets."""
     c = compared(gold, predicted, keys)
     dims = [d for d in ("entity_type", "chunk_id") if d in keys]
-    sets = [[], *[[d] for d in dims]]
-    spec = ", ".join("(" + ", ".join(s) + ")" for s in sets)
-    c.createOrReplaceTempView("lodestone_compared")
-    scope = "CASE " + " ".join(f"WHEN grouping({d}) = 0 THEN '{'type' if d == 'entity_type' else 'chunk'}'" for d in dims) + " ELSE 'micro' END" if dims else "'micro'"
-    value = f"coalesce({', '.join(dims)}, 'all')" if dims else "'all'"
-    out = c.sparkSession.sql(f"SELECT {scope} AS scope, {value} AS value, count_if(tp) AS tp, count_if(fp) AS fp, count_if(fn) AS fn FROM lodestone_compared" + (f" GROUP BY GROUPING SETS ({spec})" if dims else ""))
-    return scored(out)
+    figures = [F.count_if("tp").alias("tp"), F.count_if("fp").alias("fp"), F.count_if("fn").alias("fn")]
+    if not dims:
+        return scored(c.agg(*figures).select(F.lit("micro").alias("scope"), F.lit("all").alias("value"), "tp", "fp", "fn"))
+    g = c.groupingSets([[], *[[F.col(d)] for d in dims]], *map(F.col, dims)).agg(*figures, *(F.grouping(d).alias(f"_{d}") for d in dims))
+    scope = value = None
+    for d in dims:
+        here = F.col(f"_{d}") == 0
+        scope = F.when(here, "type" if d == "entity_type" else "chunk") if scope is None else scope.when(here, "type" if d == "entity_type" else "chunk")
+        named = F.coalesce(F.col(d).cast("string"), F.lit("all"))
+        value = F.when(here, named) if value is None else value.when(here, named)
+    return scored(g.select(scope.otherwise("micro").alias("scope"), value.otherwise("all").alias("value"), "tp", "fp", "fn"))
 
 
 # The least figures that an extractor must reach.
@@ -122,6 +126,24 @@ def gates(scores: DataFrame, least: dict[tuple[str, str, str], float] = ENTITY_G
     return j.select(F.concat_ws(".", "scope", "value", "figure").alias("gate"), "least", "reached", (F.col("reached") >= F.col("least")).alias("passed"))
 
 
+def claims_evaluated(gold: DataFrame, predicted: DataFrame) -> DataFrame:
+    """The gates of claim spans: exact matches of place, over all chunks."""
+    return gates(evaluated(gold, predicted, ["chunk_id", "start_char", "end_char"]), CLAIM_GATES)
+
+
+def silver_diagnostics(sampled: DataFrame, labelled: DataFrame, run_id: str, version: str) -> DataFrame:
+    """One row about a labelling run: labelled has chunk_id, silver_claims, parse_error (null: none) of the chunks that were tried.
+
+    A row is invalid if it was parsed and has a span that is none; failures are counted, and stay rows of `labelled`.
+    """
+    ok = F.col("parse_error").isNull()
+    bad = F.exists("silver_claims", lambda s: (s["start_char"] < 0) | (s["end_char"] <= s["start_char"]))
+    good = ok & ~F.coalesce(bad, F.lit(False))
+    one = lambda df: df.withColumn("_k", F.lit(1))
+    n = labelled.agg(F.count_if(good).alias("records_written"), F.coalesce(F.sum(F.when(good, F.size("silver_claims"))), F.lit(0)).cast("long").alias("claims_written"), F.count_if(~ok).alias("parse_failures"), F.count_if(ok & ~good).alias("invalid_rows"))
+    return one(sampled.agg(F.count("*").alias("sampled_chunks"))).join(one(n), "_k").select(F.lit(run_id).alias("labeling_run_id"), F.lit(version).alias("dataset_version"), "sampled_chunks", "records_written", "claims_written", "parse_failures", "invalid_rows")
+
+
 def threshold_search(scores: DataFrame, thresholds=(0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8)) -> DataFrame:
     """scores (score, label) at each threshold: threshold, tp, fp, fn, f1, and whether it is the first of the best. One pass; no join with the thresholds."""
     hit, truth = (lambda t: F.col("score") >= t), F.col("label") == 1

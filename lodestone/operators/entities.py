@@ -146,8 +146,15 @@ def recogniser_type(label, mention):
     return F.when(cue("POLICY"), "POLICY").when(cue("PROGRAM"), "PROGRAM").when(label == "ORG", "ORG").when(label == "PERSON", "PERSON").when(label.isin("GPE", "LOC", "NORP"), "JURISDICTION")
 
 
-def recognised_mentions(chunks: DataFrame, recognised: DataFrame, version: str = "ensemble-v1-spacy", confidence: float = 0.9) -> DataFrame:
-    """Mentions from a recogniser's spans (chunk_id, start_char, end_char, label, and optionally coref: the chain's first mention)."""
+def recognised_mentions(chunks: DataFrame, recognised: DataFrame, version: str = "ensemble-v1-spacy", confidence: float = 0.9, fallback: bool = False, rules: EntityRules | None = None) -> DataFrame:
+    """Mentions from a recogniser's spans (chunk_id, start_char, end_char, label, and optionally coref: the chain's first mention).
+
+    fallback: chunks in which it finds none of a known type get the rules' mentions.
+    """
+    if fallback:
+        made = recognised_mentions(chunks, recognised, version, confidence)
+        rest = chunks.join(made.select("chunk_id").distinct(), "chunk_id", "left_anti").select(*chunks.columns)
+        return made.unionByName(rule_mentions(rest, EntityRules(**{**(rules or EntityRules()).__dict__, "version": f"{version}-fallback-rules"})))
     r = recognised if "coref" in recognised.columns else recognised.withColumn("coref", F.lit(None).cast("string"))
     joined = chunks.select(*SPINE, "chunk_text").join(r, "chunk_id")
     mention = F.expr("substring(chunk_text, start_char + 1, end_char - start_char)")

@@ -10,6 +10,11 @@ CLAIM_FIELDS = ("claim_id", "chunk_id", "source_id", "source_document_id", "docu
 ENTITY_FIELDS = ("entity_id", "chunk_id", "source_id", "source_document_id", "document_checksum", "start_char", "end_char", "mention_text", "normalized_mention_text", "entity_type", "confidence", "extractor_version")
 
 
+# Output that must match, as readers look for these messages.
+NO_JSON, NO_OBJECT = "Invalid JSON row", "Row payload is not a JSON object"
+MISSING_FIELDS, MISSING_CHUNK = "Missing {} fields: ", "{} references missing chunk_id"
+
+
 def anomaly(rows: DataFrame, category: str, message) -> DataFrame:
     return rows.select(F.lit(category).alias("category"), F.lit("error").alias("severity"), message.alias("message"), "source_path", "line_number")
 
@@ -22,8 +27,8 @@ def parsed(lines: DataFrame) -> DataFrame:
 
 
 def parse_anomalies(p: DataFrame) -> DataFrame:
-    bad = anomaly(p.where(F.col("v").isNull()), "json_decode_error", F.lit("Invalid JSON row"))
-    return bad.unionByName(anomaly(p.where(F.col("v").isNotNull() & ~F.col("is_object")), "json_not_object", F.lit("Row payload is not a JSON object")))
+    bad = anomaly(p.where(F.col("v").isNull()), "json_decode_error", F.lit(NO_JSON))
+    return bad.unionByName(anomaly(p.where(F.col("v").isNotNull() & ~F.col("is_object")), "json_not_object", F.lit(NO_OBJECT)))
 
 
 def chunk_ids(p: DataFrame) -> DataFrame:
@@ -34,10 +39,10 @@ def reference_anomalies(p: DataFrame, known_chunks: DataFrame, fields: tuple[str
     """Rows without a field, and rows whose chunk doesn't exist. A field that is null is there."""
     missing = F.array_sort(F.array_except(F.array(*map(F.lit, fields)), "keys"))
     rows = p.where("is_object").withColumn("missing", missing)
-    out = anomaly(rows.where(F.size("missing") > 0), f"missing_{what}_fields", F.concat(F.lit(f"Missing {what} fields: "), F.array_join("missing", ", ")))
+    out = anomaly(rows.where(F.size("missing") > 0), f"missing_{what}_fields", F.concat(F.lit(MISSING_FIELDS.format(what)), F.array_join("missing", ", ")))
     whole = rows.where(F.size("missing") == 0).withColumn("chunk_id", F.try_variant_get("v", "$.chunk_id", "string"))
     orphans = whole.join(known_chunks, "chunk_id", "left_anti")
-    return out.unionByName(anomaly(orphans, f"orphan_{what}_chunk", F.lit(f"{what.title()} references missing chunk_id")))
+    return out.unionByName(anomaly(orphans, f"orphan_{what}_chunk", F.lit(MISSING_CHUNK.format(what.title()))))
 
 
 def anomalies(chunks: DataFrame, claims: DataFrame, entities: DataFrame) -> DataFrame:

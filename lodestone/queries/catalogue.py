@@ -412,21 +412,21 @@ def review_items(spark, sf, condition):
     return one.select("mention_entity_id", F.lit("c").alias("chunk_id"), F.lit("m").alias("mention_text"), F.lit("ORG").alias("entity_type"), "decision_status", "decision_score", F.lit(None).cast("string").alias("selected_candidate_key"))
 
 
-REVIEW_SQL = """a AS (SELECT user_id::VARCHAR AS id, max(event_type) AS s, max(value) AS v FROM events WHERE event_id % 40 = 1 GROUP BY 1), b AS (SELECT user_id::VARCHAR AS id, max(event_type) AS s, max(value) AS v FROM events WHERE event_id % 40 = 2 GROUP BY 1)"""
+REVIEW_SQL = """a AS (SELECT user_id::VARCHAR AS id, max(event_type) AS s, max(value) AS v FROM events WHERE event_id % 2 = 1 GROUP BY 1), b AS (SELECT user_id::VARCHAR AS id, max(event_type) AS s, max(value) AS v FROM events WHERE event_id % 2 = 0 GROUP BY 1)"""
 
 
 @query(f"WITH {REVIEW_SQL} SELECT coalesce(b.id, a.id) AS mention_entity_id, CASE WHEN b.id IS NULL THEN a.s ELSE b.s END AS decision_status, CASE WHEN b.id IS NULL THEN a.v ELSE b.v END AS decision_score, CASE WHEN b.id IS NULL THEN 'done' ELSE 'pending' END AS review_state, CASE WHEN a.id IS NULL THEN '2025' ELSE '2024' END AS created_at, CASE WHEN b.id IS NULL THEN '2024' ELSE '2025' END AS updated_at FROM a FULL JOIN b ON a.id = b.id")
 def review_upsert(spark, sf):
-    stored = review_items(spark, sf, "event_id % 40 = 1").withColumn("review_state", F.lit("done")).withColumn("created_at", F.lit("2024")).withColumn("updated_at", F.lit("2024"))
-    out = cat.upserted(review_items(spark, sf, "event_id % 40 = 2"), stored, "2025")
+    stored = review_items(spark, sf, "event_id % 2 = 1").withColumn("review_state", F.lit("done")).withColumn("created_at", F.lit("2024")).withColumn("updated_at", F.lit("2024"))
+    out = cat.upserted(review_items(spark, sf, "event_id % 2 = 0"), stored, "2025")
     return out.select("mention_entity_id", "decision_status", "decision_score", "review_state", "created_at", "updated_at")
 
 
 @query(f"WITH {REVIEW_SQL} SELECT count(*)::BIGINT AS events FROM (SELECT id, s, v FROM b EXCEPT SELECT id, s, v FROM a)")
 def review_event_log(spark, sf):
     none = review_items(spark, sf, "false").select(F.lit("").alias("event_hash"))
-    stored = cat.review_events(review_items(spark, sf, "event_id % 40 = 1"), none)
-    return cat.review_events(review_items(spark, sf, "event_id % 40 = 2"), stored).agg(F.count("*").alias("events"))
+    stored = cat.review_events(review_items(spark, sf, "event_id % 2 = 1"), none)
+    return cat.review_events(review_items(spark, sf, "event_id % 2 = 0"), stored).agg(F.count("*").alias("events"))
 
 
 # Canonical rows and the graph
@@ -716,3 +716,6 @@ def claims_rollup(spark, sf):
     n = g.edges.groupBy("source").agg(F.count("*").alias("claims"))
     p = g.nodes.where("type = 'PublisherOrganization'").select(F.col("id").alias("source"), F.get_json_object("properties", "$.source_id").alias("source_id"))
     return n.join(p, "source").select("source_id", "claims")
+
+
+from . import cases  # noqa: E402,F401  registers its queries

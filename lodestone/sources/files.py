@@ -7,7 +7,7 @@ import io
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructType
 
 from ..functions import ids
 from ..schemas import CATALOG
@@ -20,8 +20,54 @@ def artifacts(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
 
 
 def store_artifacts(rows: DataFrame, path: str) -> None:
-    """Raw contents, once for each checksum, in a table keyed by it."""
-    rows.select(ids.checksum(F.col("content")).alias("checksum"), "content").dropDuplicates(["checksum"]).write.mode("append").parquet(path)
+    """Raw contents, once for each checksum, in a table keyed by it; what is stored already isn't stored again."""
+    new = rows.select(ids.checksum(F.col("content")).alias("checksum"), "content").dropDuplicates(["checksum"])
+    spark = rows.sparkSession
+    if exists(spark, path):
+        new = new.join(spark.read.parquet(path).select("checksum"), "checksum", "left_anti")
+    new.write.mode("append").parquet(path)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def require_file(spark: SparkSession, path: str, label: str) -> None:
+    """Raises unless the path is a file, or a table's folder with files in it, in any store that Spark reads."""
+    fs, p = hadoop_path(spark, path)
+    if not fs.exists(p):
+        raise ValueError(f"{label} input path does not exist: {path}")
+    if not fs.getFileStatus(p).isFile() and not any(x.isFile() and x.getPath().getName()[0] not in "._" for x in fs.listStatus(p)):
+        raise ValueError(f"{label} input path is not a file: {path}")
+
+
+def sqlite_rows(spark: SparkSession, path: str, sql: str, schema: str) -> DataFrame:
+    """Rows that a query finds in each SQLite file at path. Files are read by Spark and opened in memory, one a task at a time."""
+    names = [f.name for f in StructType.fromDDL(schema)]
+
+    def run(frames):
+        import sqlite3
+
+        for frame in frames:
+            for content in frame["content"]:
+                db = sqlite3.connect(":memory:")
+                db.deserialize(content)
+                yield pd.DataFrame(db.execute(sql).fetchall(), columns=names)
+                db.close()
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, schema)
+
+
+def sqlite_catalog(spark: SparkSession, path: str) -> DataFrame:
+    """The catalog rows of a SQLite catalog file."""
+    rows = sqlite_rows(spark, path, "SELECT canonical_entity_key, canonical_name, entity_type, aliases_json FROM entity_catalog", "canonical_entity_key string, canonical_name string, entity_type string, aliases_json string")
+    return rows.select("canonical_entity_key", "canonical_name", "entity_type", F.from_json("aliases_json", "array<string>").alias("aliases"))
 
 
 def catalog_seed(spark: SparkSession, path: str) -> DataFrame:

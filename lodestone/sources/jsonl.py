@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -20,24 +20,39 @@ def read(spark: SparkSession, path: str | list[str], schema: str | StructType) -
     return rows.where(F.col("_corrupt").isNull()).drop("_corrupt")
 
 
-def read_strict(spark: SparkSession, path: str | list[str], schema: str | StructType, required: tuple[str, ...] = ()) -> DataFrame:
-    """Rows of a fixed schema; a malformed line, or a blank required text, raises where it is read, with its content."""
-    rows = spark.read.option("mode", "FAILFAST").schema(as_schema(schema)).json(path)
+def read_strict(spark: SparkSession, path: str | list[str], schema: str | StructType, required: tuple[str, ...] = (), what: str = "Row") -> DataFrame:
+    """Rows of a fixed schema; a line that is no object, or a required text that is missing or blank, raises where it is read and names its line, from 1. Blank lines are skipped."""
+    found = lines(spark, path).where(~F.col("line").rlike(r"^\s*$"))
+    number = F.col("line_number").cast("string")
+    keys = F.json_object_keys("line")
+    parsed = F.when(F.try_parse_json("line").isNull() | keys.isNull(), F.raise_error(F.concat(F.lit(f"{what} "), number, F.lit(" is malformed: it must be an object")))).otherwise(F.from_json("line", as_schema(schema)))
+    rows = found.select("line_number", parsed.alias("r")).select("line_number", "r.*")
     for c in required:
-        rows = rows.withColumn(c, F.when(F.coalesce(F.trim(F.col(c)), F.lit("")) == "", F.raise_error(F.concat(F.lit(f"blank {c} in "), F.coalesce(F.to_json(F.struct(*rows.columns)), F.lit("a row"))))).otherwise(F.col(c)))
-    return rows
+        rows = rows.withColumn(c, F.when(F.coalesce(F.trim(F.col(c)), F.lit("")) == "", F.raise_error(F.concat(F.lit(f"{what} "), number, F.lit(f" has invalid {c}")))).otherwise(F.col(c)))
+    return rows.drop("line_number")
 
 
-def lines(spark: SparkSession, path: str) -> DataFrame:
+def lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """source_path, line_number (from 1 in each file), line. Numbers follow the places of lines in their file.
 
-    A file's lines are numbered in a window of that file alone; one file is one unit of work here.
+    Lines of a block of a file are numbered where they are read; only the blocks' counts meet, a row for each block.
     """
-    raw = spark.read.text(path).select(F.col("value").alias("line"), F.input_file_name().alias("source_path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
-    from pyspark.sql import Window
+    raw = spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("source_path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
+    blocks = raw.groupBy("source_path", "_block").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    before = Window.partitionBy("source_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select("source_path", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return raw.join(offsets, ["source_path", "_block"]).select("source_path", (F.col("_before") + F.col("_at") - F.col("_first") + 1).alias("line_number"), "line")
 
-    w = Window.partitionBy("source_path").orderBy("_block", "_at")
-    return raw.select("source_path", F.row_number().over(w).cast("long").alias("line_number"), "line")
+
+def objects(rows: DataFrame, most: int | None = None) -> DataFrame:
+    """The rows (source_path, line_number, line) that are JSON objects, the first `most` of them by place where that is given."""
+    good = rows.where(F.try_parse_json("line").isNotNull() & F.json_object_keys("line").isNotNull())
+    return good if most is None else good.orderBy("source_path", "line_number").limit(max(0, most))
+
+
+def object_count(rows: DataFrame) -> DataFrame:
+    """One row: how many lines are JSON objects."""
+    return objects(rows).agg(F.count("*").alias("rows"))
 
 
 def append(rows: DataFrame, path: str) -> None:

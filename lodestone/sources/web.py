@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Iterator
+from html import unescape
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -53,42 +55,37 @@ def merged_sitemap(entries: DataFrame) -> DataFrame:
     return e.agg(F.array_join(F.concat(F.array(F.lit('<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">')), body, F.array(F.lit("</urlset>"))), "\n").alias("xml"))
 
 
-class Article(HTMLParser):
-    """Texts inside main or article, but for what is ignored; block elements start lines."""
+#: What a page is cut at: comments and declarations, scripts and styles as a whole, and tags.
+MARKUP = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|<(/?)([a-z][a-z0-9]*)\b[^>]*>")
 
-    def __init__(self):
-        super().__init__()
-        self.depth, self.ignored, self.out = {"main": 0, "article": 0}, 0, []
-
-    def shown(self) -> bool:
-        return any(self.depth.values()) and not self.ignored
-
-    def handle_starttag(self, tag, attrs):
-        if tag in self.depth:
-            self.depth[tag] += 1
-        self.ignored += tag in IGNORED_TAGS
-        if tag in BLOCK_TAGS and self.shown():
-            self.out.append("\n")
 
-    def handle_endtag(self, tag):
-        if tag in IGNORED_TAGS:
-            self.ignored = max(0, self.ignored - 1)
-        elif tag in self.depth:
-            self.depth[tag] = max(0, self.depth[tag] - 1)
+def article_lines(page: str) -> Iterator[str]:
+    """Texts inside main or article that aren't inside an ignored element, each run between two tags as a line; a block element starts with an empty one.
 
-    def handle_data(self, data):
-        if self.shown() and (words := " ".join(data.split())):
-            self.out.append(words)
+    `around` lists the elements that matter and stand open; an end tag closes the last one of its name.
+    """
+    around: list[str] = []
+    at = 0
+    for m in [*MARKUP.finditer(page), None]:
+        shown = not IGNORED_TAGS.intersection(around) and ("main" in around or "article" in around)
+        words = " ".join(unescape(page[at : m.start() if m else len(page)]).split()) if shown else ""
+        if words:
+            yield words
+        if m is None:
+            return
+        at, name = m.end(), (m[3] or "").lower()
+        if name in IGNORED_TAGS or name in ("main", "article"):
+            if not m[2]:
+                around.append(name)
+            elif name in around:
+                del around[len(around) - 1 - around[::-1].index(name)]
+        elif shown and not m[2] and name in BLOCK_TAGS:
+            yield "\n"
 
 
 @F.pandas_udf(StringType())
 def raw_article(html: pd.Series) -> pd.Series:
-    def one(page: str | None) -> str:
-        parser = Article()
-        parser.feed(page or "")
-        return "\n".join(parser.out)
-
-    return html.map(one)
+    return html.map(lambda page: "\n".join(article_lines(page or "")))
 
 
 def article_text(html: Column) -> Column:
