@@ -80,12 +80,14 @@ def anchor_links(spark, sf):
     return web.anchors(table(spark, sf, "pages").select("page_id", "html"))
 
 
-@query()
+@query(r"""WITH inside AS (SELECT page_id, regexp_extract(html, '(?s)<article>(.*?)(</article>|$)', 1) AS a FROM pages),
+pieces AS (SELECT page_id, list_transform(string_split_regex(a, '<[^>]*>'), lambda x: trim(regexp_replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g'))) AS p FROM inside)
+SELECT page_id, array_to_string(list_filter(p, lambda x: x <> ''), chr(10)) AS text FROM pieces""")
 def article_text(spark, sf):
     return table(spark, sf, "pages").select("page_id", web.article_text(F.col("html")).alias("text"))
 
 
-@query()
+@query(r"""SELECT page_id, unnest([0, 1])::INTEGER AS position, unnest([regexp_replace(url, '[^/]*$', '') || 'files/report.pdf?x=1', regexp_extract(url, '^https?://[^/]+') || '/files/appendix.pdf']) AS pdf_url FROM (SELECT page_id, regexp_extract(url, '^[^?#]*') AS url FROM pages)""")
 def pdf_style_links(spark, sf):
     """Pages with two report links put in front: the full report comes first whatever the order."""
     links = F.concat(F.lit('<a href="/files/appendix.pdf">Appendix</a><a href="files/report.pdf?x=1">Full report</a>'), "html")
@@ -338,7 +340,10 @@ def entity_type_pivot(spark, sf):
     return entities.type_counts(entities.rule_mentions(c), c)
 
 
-@query()
+@query("""WITH RECURSIVE s AS (SELECT event_id // 10 AS chunk_id, ((event_id % 10) * 3)::INTEGER AS a, ((event_id % 10) * 3 + 1 + user_id % 7)::INTEGER AS b, event_id, row_number() OVER (PARTITION BY event_id // 10 ORDER BY value DESC, event_id) AS r FROM events),
+walk AS (SELECT chunk_id, 1::BIGINT AS r, true AS ok, event_id, a, b, [{'a': a, 'b': b}] AS kept FROM s WHERE r = 1
+ UNION ALL SELECT chunk_id, r, ok, event_id, a, b, CASE WHEN ok THEN list_append(kept, {'a': a, 'b': b}) ELSE kept END FROM (SELECT s.chunk_id, s.r, len(list_filter(w.kept, lambda k: k.a < s.b AND s.a < k.b)) = 0 AS ok, s.event_id, s.a, s.b, w.kept FROM walk w JOIN s ON s.chunk_id = w.chunk_id AND s.r = w.r + 1))
+SELECT chunk_id, a AS start_char, b AS end_char, event_id FROM walk WHERE ok""")
 def entity_overlap_resolution(spark, sf):
     """Events as overlapping spans, ten in a chunk: those that the greedy choice by value keeps."""
     s = table(spark, sf, "events").select(F.expr("event_id div 10").alias("chunk_id"), ((F.col("event_id") % 10) * 3).cast("int").alias("start_char"), ((F.col("event_id") % 10) * 3 + 1 + F.col("user_id") % 7).cast("int").alias("end_char"), "value", "event_id")
