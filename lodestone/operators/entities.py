@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from bisect import bisect_right
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -79,6 +80,19 @@ class Matcher:
                         yield m.start(), m.end(), "JURISDICTION", c
 
 
+def without_overlap(found: Iterable[tuple[int, int, str, float]], precedence: Sequence[str]) -> list[tuple[int, int, str, float]]:
+    """Of a sentence's spans (start, end, type, confidence) those that win: by confidence, type, length, place. Kept ones stand sorted, so a span is held against its neighbours alone."""
+    rank = {t: i for i, t in enumerate(precedence)}
+    starts: list[int] = []
+    kept: list[tuple[int, int, str, float]] = []
+    for span in sorted(found, key=lambda x: (-x[3], rank.get(x[2], 999), x[0] - x[1], x[0], x[1], x[2])):
+        i = bisect_right(starts, span[0])
+        if (i == 0 or kept[i - 1][1] <= span[0]) and (i == len(kept) or span[1] <= kept[i][0]):
+            starts.insert(i, span[0])
+            kept.insert(i, span)
+    return kept
+
+
 FOUND = "chunk_id string, source_id string, source_document_id string, document_checksum string, position int, start_char int, end_char int, mention_text string, entity_type string, confidence double"
 
 
@@ -115,11 +129,13 @@ VALUES = ["start_char", "end_char", "mention_text", "entity_type", "confidence"]
 
 
 def rule_mentions(chunks: DataFrame, rules: EntityRules = EntityRules()) -> DataFrame:
-    """Rule mentions; within a sentence overlaps go by confidence, type, length, place."""
-    found = found_spans(chunks, lambda: Matcher(rules))
-    rank = F.element_at(F.create_map(*[F.lit(x) for i, t in enumerate(rules.precedence) for x in (t, i)]), F.col("entity_type"))
-    kept = select_greedy(found, [*SPINE, "position"], [-F.col("confidence"), rank, F.col("start_char") - F.col("end_char"), F.col("start_char")], VALUES)
-    return mention_rows(kept, rules.version)
+    """Rule mentions; within a sentence overlaps go by confidence, type, length, place. A sentence is settled where it is read: nothing is shuffled."""
+
+    def make():
+        matcher = Matcher(rules)
+        return lambda sentence: without_overlap(matcher(sentence), rules.precedence)
+
+    return mention_rows(found_spans(chunks, make), rules.version)
 
 
 def gazetteer_mentions(chunks: DataFrame, version: str = "ensemble-v1-gazetteer", suffixes: dict[str, tuple[str, ...]] = SUFFIXES, confidence: float = 0.9) -> DataFrame:

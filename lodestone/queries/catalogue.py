@@ -498,7 +498,9 @@ def graph_edges(spark, sf):
 
 @query(EDGES_SQL + " SELECT 'node' AS kind, type, count(*)::BIGINT AS n FROM nodes GROUP BY type UNION ALL SELECT 'edge', type, count(*)::BIGINT FROM edges GROUP BY type")
 def graph_stats(spark, sf):
-    return graph.counts(full_graph(spark, sf))
+    c = corpus.chunks(spark, sf)
+    e = canonical.canonical_entities(entities.rule_mentions(c)).persist()  # read by each of the counts
+    return graph.evidence_counts(canonical.canonical_claims(claims.rule_claims(c), e).persist(), e)
 
 
 FILTER_SQL = EDGES_SQL + """,
