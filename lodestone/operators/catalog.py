@@ -65,16 +65,20 @@ def retrieved(mentions: DataFrame, catalog: DataFrame, k: int = 5, vectors: Data
     else:
         rows = rows.withColumn("vec", F.col("row_tokens"))
     asked = mentions.select(F.col("normalized_mention_text").alias("asked"), F.col("entity_type").alias("asked_type")).distinct().withColumn("asked_tokens", text.catalog_tokens(F.col("asked")))
-    token = F.explode(F.array_union("row_tokens", "vec")).alias("token")
-    postings = rows.select("canonical_entity_key", token)
-    hits = asked.select("asked", "asked_type", F.explode("asked_tokens").alias("token")).join(postings, "token").select("asked", "asked_type", "canonical_entity_key").distinct()
+    asked = asked.withColumn("n", F.size("asked_tokens"))
+    # a posting says in which of the two lists its token is, so that one count gives both intersections
+    token = F.explode(F.transform(F.array_union("row_tokens", "vec"), lambda t: F.struct(t.alias("token"), F.array_contains("row_tokens", t).cast("int").alias("lex"), F.array_contains("vec", t).cast("int").alias("vec")))).alias("t")
+    postings = rows.select("canonical_entity_key", token).select("canonical_entity_key", "t.*")
+    keys = ["asked", "asked_type", "n", "canonical_entity_key"]
+    hits = asked.select("asked", "asked_type", "n", F.explode("asked_tokens").alias("token")).join(postings, "token").select(*keys, "lex", "vec")
     first = Window.partitionBy("row_type").orderBy("canonical_entity_key")
     tail = rows.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= 2 * k).select("canonical_entity_key", "row_type")
     heads = tail.groupBy().agg(F.array_sort(F.collect_list("canonical_entity_key")).alias("keys"))  # 2k rows a type
-    rest = asked.select("asked", "asked_type").join(F.broadcast(heads), F.lit(True)).select("asked", "asked_type", F.explode("keys").alias("canonical_entity_key"))
-    pairs = hits.unionByName(rest).distinct().join(rows, "canonical_entity_key").join(asked, ["asked", "asked_type"])
-    lex, vec = text.jaccard(F.col("asked_tokens"), F.col("row_tokens")), text.jaccard(F.col("asked_tokens"), F.col("vec"))
-    scored = pairs.withColumn("lex", lex).withColumn("vecs", vec)
+    rest = asked.select("asked", "asked_type", "n").join(F.broadcast(heads), F.lit(True)).select("asked", "asked_type", "n", F.explode("keys").alias("canonical_entity_key"), F.lit(0).alias("lex"), F.lit(0).alias("vec"))
+    shared = hits.unionByName(rest).groupBy(*keys).agg(F.sum("lex").alias("lex"), F.sum("vec").alias("vec"))
+    sizes = rows.select("canonical_entity_key", "canonical_name", "row_type", F.size("row_tokens").alias("n_lex"), F.size("vec").alias("n_vec"))
+    share = lambda both, m: F.when((F.col("n") == 0) | (F.col(m) == 0), 0.0).otherwise(F.col(both) / (F.col("n") + F.col(m) - F.col(both)))
+    scored = shared.join(sizes, "canonical_entity_key").withColumn("vecs", share("vec", "n_vec")).withColumn("lex", share("lex", "n_lex"))
     fused = F.least(F.lit(1.0), lexical_weight * F.col("lex") + vector_weight * F.col("vecs") + F.when(F.col("row_type") == F.col("asked_type"), bonus).otherwise(0.0))
     scored = scored.select("asked", "asked_type", "canonical_entity_key", "canonical_name", F.col("row_type").alias("candidate_type"), rounded(fused).alias("fused_score"), rounded(F.col("lex")).alias("lexical_score"), rounded(F.col("vecs")).alias("vector_score"))
     best = Window.partitionBy("asked", "asked_type").orderBy(F.desc("fused_score"), F.desc("lexical_score"), F.desc("vector_score"), "canonical_entity_key")
