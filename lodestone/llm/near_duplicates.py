@@ -209,24 +209,27 @@ def signed(rows: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes whose texts are linked; `n` is about how many pairs have a, at most.
 
-    b's text comes to the pair; a's goes to each block of its pairs. So pairs of one much used a are many blocks.
+    Each pair brings b's text, and each block of a's pairs a's text once; they meet by block, a's text first. So pairs
+    of one much used a are many blocks, and a task holds two texts at a time.
     """
     pairs = pairs.withColumn("block", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / HUB_BLOCK)).cast("int")).drop("n")
-    left = pairs.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
-    hubs = pairs.select("a", "block").distinct().join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
-    both = left.join(hubs, ["a", "block"]).select("a", "b", "text_a", "text_b")
+    ends = pairs.join(texts.select(F.col("key").alias("b"), "text"), "b").select("a", "block", "b", "text")
+    hubs = pairs.select("a", "block").distinct().join(texts.select(F.col("key").alias("a"), "text"), "a").select("a", "block", F.lit(None).cast("long").alias("b"), "text")
+    met = ends.unionByName(hubs).repartition("a", "block").sortWithinPartitions("a", "block", F.asc_nulls_first("b"))
 
-    def run(batches):
-        last: tuple[int | None, list] = (None, [])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub: list = []
         for batch in batches:
-            keep = []
-            for a, text_a, text_b in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True):
-                if a != last[0]:
-                    last = (a, words_of(text_a.as_py()))
-                keep.append(similar(last[1], words_of(text_b.as_py())))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return both.mapInArrow(run, "a long, b long")
+            found: list[tuple[int, int]] = []
+            for a, b, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
+                words = words_of(text.as_py())
+                if b is None:
+                    hub = words
+                elif similar(hub, words):
+                    found.append((a, b))
+            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in range(2)], ["a", "b"])
+
+    return met.mapInArrow(run, "a long, b long")
 
 
 def joined_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
