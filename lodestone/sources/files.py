@@ -86,16 +86,18 @@ def vector_sidecar(spark: SparkSession, path: str) -> DataFrame:
 
 @F.pandas_udf(StringType())
 def pdf_text(content: pd.Series) -> pd.Series:
-    """Text of a PDF's pages, blank ones left out, joined by line ends; needs the optional pypdf."""
-    from pypdf import PdfReader
-
-    def one(raw: bytes | None) -> str | None:
-        if raw is None:
-            return None
-        pages = [p.extract_text() or "" for p in PdfReader(io.BytesIO(raw)).pages]
-        return "\n".join(p for p in pages if p).strip()
-
-    return content.map(one)
+    """Text of a PDF's pages, blank ones left out, joined by line ends: by pypdf where it is installed, else by `pdf`."""
+    try:
+        from pypdf import PdfReader
+    except ModuleNotFoundError:
+        from .pdf import text_of as one
+    else:
+
+        def one(raw: bytes) -> str:
+            pages = [p.extract_text() or "" for p in PdfReader(io.BytesIO(raw)).pages]
+            return "\n".join(p for p in pages if p).strip()
+
+    return content.map(lambda raw: None if raw is None else one(raw))
 
 
 def write_graph(nodes: DataFrame, edges: DataFrame, path: str) -> None:

@@ -415,3 +415,108 @@ def test_command_line(spark, tmp_path, capsys):
     assert "Clean Energy Act" in page and page.startswith("<!doctype html>")
     with pytest.raises(ValueError, match="more than 1"):
         artifacts.artifact(g, "now", most=1)
+
+
+def pdf_file(pages, packed):
+    """A small PDF of those pages' content streams; packed: streams compressed, pages in an object stream."""
+    import zlib
+
+    def stream(data, more=b""):
+        body = zlib.compress(data) if packed else data
+        return b"<< /Length %d%s%s >>\nstream\n%s\nendstream" % (len(body), b" /Filter /FlateDecode" if packed else b"", more, body)
+
+    kids = b" ".join(b"%d 0 R" % (20 - i) for i in range(len(pages)))  # pages stand in the file in another order
+    dicts = {1: b"<< /Type /Catalog /Pages 2 0 R >>", 2: b"<< /Type /Pages /Kids [%s] /Count %d >>" % (kids, len(pages))}
+    dicts |= {20 - i: b"<< /Type /Page /Parent 2 0 R /Contents %s >>" % (b"[%d 0 R]" % (40 + i) if i else b"40 0 R") for i in range(len(pages))}
+    objects = {40 + i: stream(p) for i, p in enumerate(pages)}
+    if packed:
+        order = sorted(dicts)
+        places, data = [], b""
+        for n in order:
+            places.append(b"%d %d" % (n, len(data)))
+            data += dicts[n] + b"\n"
+        head = b" ".join(places) + b"\n"
+        objects[60] = stream(head + data, b" /Type /ObjStm /N %d /First %d" % (len(order), len(head)))
+    else:
+        objects |= dicts
+    return b"%PDF-1.5\n" + b"".join(b"%d 0 obj\n%s\nendobj\n" % (n, objects[n]) for n in sorted(objects)) + b"%%EOF"
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_pdf_text(spark, packed):
+    one = b"BT /F1 12 Tf 72 700 Td (Annual \\(draft\\) report) Tj 0 -14 Td [(Emis) 20 (sions) -300 (fell)] TJ T* <48656C6C6F> Tj ET"
+    two = b"q BT (Caf\\351) Tj ET Q (not shown) pop BT <FEFF00E900E8> Tj ET"
+    df = spark.createDataFrame([(pdf_file([one, b"", two], packed),), (None,), (b"no pdf",)], "content binary")
+    assert [r[0] for r in df.select(files.pdf_text("content")).collect()] == ["Annual (draft) report\nEmissions fell\nHello\nCaf\u00e9\n\u00e9\u00e8", None, ""]
+
+
+def test_sqlite_catalog(spark, tmp_path):
+    import sqlite3
+
+    with sqlite3.connect(tmp_path / "catalog.db") as db:
+        db.execute("CREATE TABLE entity_catalog (canonical_entity_key TEXT, canonical_name TEXT, entity_type TEXT, aliases_json TEXT, source TEXT)")
+        db.executemany("INSERT INTO entity_catalog VALUES (?, ?, ?, ?, 'seed')", [("k1", "Green Council", "ORG", '["GC"]'), ("k2", "Clean Act", "POLICY", "[]")])
+    got = sorted(map(tuple, files.sqlite_catalog(spark, str(tmp_path / "catalog.db")).collect()))
+    assert got == [("k1", "Green Council", "ORG", ["GC"]), ("k2", "Clean Act", "POLICY", [])]
+
+
+def test_strict_reader_names_the_line(spark, tmp_path):
+    p = tmp_path / "rows.json"
+    p.write_text('{"k": "a"}\n\n{"k": " "}\n')
+    with pytest.raises(Exception, match="Row 3 has invalid k"):
+        jsonl.read_strict(spark, str(p), "k string", ("k",)).collect()
+    p.write_text('{"k": "a"}\n[1]\n')
+    with pytest.raises(Exception, match="Chunk row 2 is malformed"):
+        jsonl.read_strict(spark, str(p), "k string", what="Chunk row").collect()
+
+
+def test_required_inputs(spark, tmp_path):
+    with pytest.raises(ValueError, match="claims input path does not exist"):
+        files.require_file(spark, str(tmp_path / "none"), "claims")
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(ValueError, match="claims input path is not a file"):
+        files.require_file(spark, str(tmp_path / "empty"), "claims")
+    (tmp_path / "one").write_text("{}")
+    files.require_file(spark, str(tmp_path / "one"), "claims")
+
+
+def test_artifacts_are_stored_once(spark, tmp_path):
+    rows = spark.createDataFrame([(b"a",), (b"b",), (b"a",)], "content binary")
+    for _ in range(2):
+        files.store_artifacts(rows, str(tmp_path / "raw"))
+    assert spark.read.parquet(str(tmp_path / "raw")).count() == 2
+
+
+def test_starts_of_many_pieces(spark):
+    words = [f"w{i}. " for i in range(700)]
+    df = spark.createDataFrame([("".join(words),), ("",), (None,), ("a. b",)], "t string")
+    got = [r[0] for r in df.select(text.sentences(F.col("t"))).collect()]
+    at, want = 0, []
+    for w in words:
+        want.append((w.strip(), at, at + len(w) - 1))
+        at += len(w)
+    assert [tuple(x) for x in got[0]] == want and got[1] == got[2] == [] and [tuple(x) for x in got[3]] == [("a.", 0, 2), ("b", 3, 4)]
+
+
+def test_classifiers_of_constant_labels(spark):
+    chunks = spark.createDataFrame([("c1", "s", "d", "x", "We must act now"), ("c2", "s", "d", "x", "Nothing here")], "chunk_id string, source_id string, source_document_id string, document_checksum string, chunk_text string")
+    none = spark.createDataFrame([], "chunk_id string, start_char int, end_char int")
+    assert ml.token_claims(chunks, ml.trained(chunks, none)).collect() == []
+
+
+def test_fallback_rules_of_a_recogniser(spark):
+    chunks = spark.createDataFrame([("c1", "s", "d", "x", "The Green Act and Perth"), ("c2", "s", "d", "x", "The Blue Council sat")], "chunk_id string, source_id string, source_document_id string, document_checksum string, chunk_text string")
+    spans = spark.createDataFrame([("c1", 18, 23, "GPE"), ("c2", 0, 3, "DATE")], "chunk_id string, start_char int, end_char int, label string")
+    got = {(r["chunk_id"], r["mention_text"], r["entity_type"]) for r in entities.recognised_mentions(chunks, spans, fallback=True).collect()}
+    assert got == {("c1", "Perth", "JURISDICTION"), ("c2", "Blue Council", "ORG")}
+    assert entities.recognised_mentions(chunks, spans).count() == 1
+
+
+def test_extension_points():
+    from lodestone import ports
+
+    assert ports.CHUNKERS["windows"] and isinstance(ports.CLAIM_EXTRACTORS["rules"], ports.ClaimExtractor)
+    with pytest.raises(ValueError, match="already"):
+        ports.SOURCES.add("sitemap", len)
+    with pytest.raises(ValueError, match="unknown judge"):
+        ports.JUDGES["none"]
