@@ -81,7 +81,7 @@ def anchor_links(spark, sf):
 
 
 @query(r"""WITH inside AS (SELECT page_id, regexp_extract(html, '(?s)<article>(.*?)(</article>|$)', 1) AS a FROM pages),
-pieces AS (SELECT page_id, list_transform(string_split_regex(a, '<[^>]*>'), lambda x: trim(regexp_replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g'))) AS p FROM inside)
+pieces AS (SELECT page_id, list_transform(string_split_regex(a, '<[^>]*>'), lambda x: trim(regexp_replace(replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', ''''), '&amp;', '&'), '\s+', ' ', 'g'))) AS p FROM inside)
 SELECT page_id, array_to_string(list_filter(p, lambda x: x <> ''), chr(10)) AS text FROM pieces""")
 def article_text(spark, sf):
     return table(spark, sf, "pages").select("page_id", web.article_text(F.col("html")).alias("text"))
@@ -710,10 +710,10 @@ def extraction_report(spark, sf):
 
 @query("SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, event_type, count(*)::BIGINT AS n FROM events GROUP BY 1, 2")
 def event_windows(spark, sf):
-    """The streaming aggregate, run over the table as a batch."""
-    e = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    w = e.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n"))
-    return w.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "event_type", "n")
+    """The table as a stream, read to its end: hourly counts by type."""
+    e = spark.readStream.schema(table(spark, sf, "events").schema).parquet(f"{sf}/events.parque[t]")
+    w = stages.windowed_counts(e.withColumn("ts", F.col("ts").cast("timestamp")), "ts", ["event_type"], "1 hour")
+    return stages.final_table(w).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n")
 
 
 @query(with_chunks(SENTENCES, scored_sql(), CLAIMS_SQL) + " SELECT source_id, count(*)::BIGINT AS claims FROM claims GROUP BY source_id")

@@ -6,6 +6,8 @@ is kept by a watermarked state or by the sink's anti-join, per micro-batch.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -51,6 +53,20 @@ def append_new_batches(rows: DataFrame, path: str, keys: list[str], checkpoint:
     return rows.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def final_table(aggregate: DataFrame) -> DataFrame:
+    """The state of a streaming aggregate once its source is read to the end, as a table in a folder that driver and executors share."""
+    spark = aggregate.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if spark.sparkContext.master.startswith("local-cluster") or not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="lodestone-")
+    path = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    query = aggregate.writeStream.outputMode("complete").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True)
+    query.foreachBatch(lambda batch, number: batch.write.mode("overwrite").parquet(f"{path}/rows")).start().awaitTermination()
+    return spark.read.schema(aggregate.schema).parquet(f"{path}/rows")
+
+
 class Topics:
     """Sends each micro-batch's rows of a topic to its subscribers; a row without a topic is an error."""
 
