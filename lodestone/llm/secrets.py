@@ -36,6 +36,8 @@ UUID = re.compile(rb"(?i:[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})")
 HEX_ONLY = re.compile(rb"(?i:[0-9a-f]+)")
 #: Lengths in hex digits of MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512 digests (fixed values).
 DIGEST_LENGTHS = frozenset((32, 40, 56, 64, 96, 128))
+#: What stands before a digest that is known as one: its algorithm's or purpose's name.
+NAMED = re.compile(rb"(?i)(?:md5|sha-?[123]?(?:[-_/]?\d+)?|digest|checksum|hash|commit|revision|etag|fingerprint)(?:sum)?[^A-Za-z0-9]{0,4}$")
 SEGMENT = re.compile(rb"[A-Za-z0-9]+")
 ALPHABET = b"abcdefghijklmnopqrstuvwxyz" * 2
 PLAIN = 0.9  # part of the ratio that runs of letters in one case, which may be words, must stay below
@@ -53,40 +55,44 @@ def encoder(vocabulary: str):
     return tiktoken.Encoding("secrets", pat_str=CUTS, mergeable_ranks=ranks, special_tokens={})
 
 
-def excluded(run: bytes) -> bool:
-    """Digests by their length, UUIDs, and identifiers: numbers, alphabets, and names or paths of segments without a digit."""
-    if HEX_ONLY.fullmatch(run) and len(run) in DIGEST_LENGTHS or UUID.fullmatch(run) or not LETTER.search(run):
+def is_digest(run: bytes, before: bytes) -> bool:
+    """Hex digits of a digest's length after a word that names one."""
+    return len(run) in DIGEST_LENGTHS and HEX_ONLY.fullmatch(run) is not None and NAMED.search(before[-32:]) is not None
+
+
+def excluded(run: bytes, before: bytes) -> bool:
+    """Known digests, UUIDs, and identifiers: numbers, alphabets, and names or paths of segments without a digit."""
+    if is_digest(run, before) or UUID.fullmatch(run) or not LETTER.search(run):
         return True
     return not DIGIT.search(run) and (not run.isalpha() or run.lower() in ALPHABET)
 
 
-def is_random(run: bytes, least: int, ratio: float, encode) -> bool:
-    if len(run) < least or excluded(run):
+def is_random(run: bytes, before: bytes, least: int, ratio: float, encode) -> bool:
+    if len(run) < least or excluded(run, before):
         return False
     limit = ratio * PLAIN if run.isalpha() and (run[1:].islower() or run.isupper()) else ratio
     return len(run) < limit * len(encode(run.decode()))
 
 
-def random_parts(core: bytes, least: int, ratio: float, encode) -> list[tuple[int, int]]:
-    """The random parts of a run: the whole, or else stretches of random segments, one of half the length at least, or else segments."""
-    if is_random(core, least, ratio, encode):
+def random_parts(core: bytes, before: bytes, least: int, ratio: float, encode) -> list[tuple[int, int]]:
+    """The random parts of a run, before which that text stands: the whole, or else stretches of random segments, one of half the length at least, or else segments."""
+    if is_random(core, before, least, ratio, encode):
         return [(0, len(core))]
     uuids = [m.span() for m in UUID.finditer(core)]
     stretches: list[list[tuple[int, int]]] = [[]]
     for m in SEGMENT.finditer(core):
         a, b = m.span()
-        digest = HEX_ONLY.fullmatch(m[0]) and b - a in DIGEST_LENGTHS
-        if digest or any(x < b and a < y for x, y in uuids) or b - a >= ratio * len(encode(m[0].decode())):
+        if is_digest(m[0], before + core[:a]) or any(x < b and a < y for x, y in uuids) or b - a >= ratio * len(encode(m[0].decode())):
             stretches.append([])
         else:
             stretches[-1].append((a, b))
     found = []
     for parts in filter(None, stretches):
         a, b = parts[0][0], parts[-1][1]
-        if 2 * max(y - x for x, y in parts) >= least and is_random(core[a:b], least, ratio, encode):
+        if 2 * max(y - x for x, y in parts) >= least and is_random(core[a:b], before + core[:a], least, ratio, encode):
             found.append((a, b))
         else:
-            found += [(x, y) for x, y in parts if is_random(core[x:y], least, ratio, encode)]
+            found += [(x, y) for x, y in parts if is_random(core[x:y], before + core[:x], least, ratio, encode)]
     return found
 
 
@@ -119,7 +125,7 @@ def scan(texts: list[str | None], vocabulary: str, least: int, ratio: float) ->
         core = run.strip(b".=-/+_")
         if any(a <= at + left and at + left + len(core) <= b for a, _, b in found[i]) or len(core) < least:
             continue  # a base span says so already
-        parts = [(at + left + a, 3, at + left + b) for a, b in random_parts(core, least, ratio, encode)]
+        parts = [(at + left + a, 3, at + left + b) for a, b in random_parts(core, encoded[i][max(0, at + left - 32) : at + left], least, ratio, encode)]
         found[i] += [x for x in parts if not any(a <= x[0] and x[2] <= b for a, _, b in found[i])]
     for i, spans in enumerate(found):
         if spans:
