@@ -76,7 +76,8 @@ def is_random(run: bytes, before: bytes, least: int, ratio: float, encode) -> bo
 
 def random_parts(core: bytes, before: bytes, least: int, ratio: float, encode) -> list[tuple[int, int]]:
     """The random parts of a run, before which that text stands: the whole, or else stretches of random segments, one of half the length at least, or else segments."""
-    if is_random(core, before, least, ratio, encode):
+    known = any(is_digest(m[0], before + core[: m.start()]) for m in SEGMENT.finditer(core)) if len(core) > min(DIGEST_LENGTHS) else False
+    if not known and is_random(core, before, least, ratio, encode):
         return [(0, len(core))]
     uuids = [m.span() for m in UUID.finditer(core)]
     stretches: list[list[tuple[int, int]]] = [[]]
