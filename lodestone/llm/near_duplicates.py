@@ -7,11 +7,11 @@ falls if those stand in another order, so sketches are sensitive to edit similar
 are linked if their word-level edit distance, by alignment in a growing band of diagonals, is at most a fifth of the
 longer text's words. Classes are the connected components of the links.
 
-No task sees all pairs of a large group. Texts of equal words are one node. In each bucket (the nodes of one sketch)
-every node is compared with a leader, and only buckets that then hold several components stay open. Small open buckets
-are compared in full; larger ones for some rounds with new leaders. What is left then, pairs of a large bucket in
-different components, is compared in full, in blocks of nodes: no link between different texts is lost that a shared
-sketch shows. Where a fifth of the words is replaced, all apart from each other, texts still share three fifths of their
+No task sees all pairs of a large group. Texts of equal words are one node. Each bucket (the nodes of one sketch) has a
+leader; at first every node is compared with the leader that it shares most sketches with, and only buckets that then
+hold several components stay open. Small open buckets are compared in full; larger ones for some rounds with new
+leaders. What is left then, pairs of a large bucket in different components, is compared in full, in blocks of nodes: no
+link between different components is lost that a shared sketch shows. Where a fifth of the words is replaced, all apart from each other, texts still share three fifths of their
 k-mers, which is a Jaccard similarity of 0.43: such pairs, the worst of those to link, share four of 48 sketches on
 average, and none about twice in a hundred; edits that stand together or are fewer leave more. No number of partners, candidates or bucket entries is capped.
 

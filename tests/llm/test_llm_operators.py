@@ -101,6 +101,22 @@ def test_peeling_recovers_exactly_the_difference():
         assert sorted(keys[(pair == q) & (sign < 0)].tolist()) == sorted(b - a)
 
 
+def test_likeness_follows_from_tables_of_the_returned_size(docs):
+    """The size that peeled is enough: tables of that size alone give the difference, and smaller ones of the scale don't."""
+    sizes = set()
+    for r in fingerprints.fingerprint_report(docs).collect():
+        sizes.add(r["edited_cells"])
+        assert r["edited_cells"] >= fingerprints.CELLS
+    assert fingerprints.CELLS in sizes and len(sizes) > 1
+    a, b = "\n".join(f"line {i}" for i in range(90)).encode(), "\n".join(f"row {i}" for i in range(70)).encode()
+    p = fingerprints.Pieces([a, b])
+    i, j = np.array([0]), np.array([1])
+    *_, cells = fingerprints.peeled(p, i, p, j)
+    keys, _, _, empty = (fingerprints.sketch(p, i, int(cells[0])) - fingerprints.sketch(p, j, int(cells[0]))).peel()
+    assert empty.all() and len(keys) == 160
+    assert not (fingerprints.sketch(p, i, fingerprints.CELLS) - fingerprints.sketch(p, j, fingerprints.CELLS)).peel()[3].any()
+
+
 def test_likeness_is_the_shared_part():
     a, b = "one.\ntwo two.\nthree three three.", "one.\ntwo two.\nfour."
     only = fingerprints.changed_pieces(a, b)
@@ -161,6 +177,38 @@ def test_best_fit_takes_the_tightest_bin():
         assert all(load[b] <= n and not any(c < n and c >= load[b] for c in (25, 50, 100)) for b, n in enumerate(bins))
 
 
+def least_cost(sizes, lengths):
+    """The least total cost of any packing, by trying every bin for every piece."""
+
+    def place(k, bins):
+        if k == len(sizes):
+            return sum(packing.cost_of(packing.downsized(b, lengths)) for b in bins)
+        best = place(k + 1, [*bins, sizes[k]])
+        for i in range(len(bins)):
+            if bins[i] + sizes[k] <= lengths[-1]:
+                best = min(best, place(k + 1, [*bins[:i], bins[i] + sizes[k], *bins[i + 1 :]]))
+        return best
+
+    return place(0, [])
+
+
+def test_packing_costs_little_more_than_the_best():
+    rng = random.Random(11)
+    ratios = []
+    for _ in range(120):
+        sizes = sorted((rng.randint(1, 100) for _ in range(rng.randint(1, 7))), reverse=True)
+        _, bins = packing.pack(sizes, (25, 50, 100))
+        ratios.append(sum(map(packing.cost_of, bins)) / least_cost(sizes, (25, 50, 100)))
+    assert max(ratios) <= 1.35 and np.mean(ratios) <= 1.03
+
+
+def test_packing_of_large_ids_is_the_same_again(spark):
+    big = 1 << 60
+    df = spark.createDataFrame([(big + i, "a b c") for i in range(40)], "doc_id long, text string")
+    want = sorted(map(tuple, packing.packed(df, (16,)).collect()))
+    assert sorted(map(tuple, packing.packed(df.repartition(5).orderBy(-df["doc_id"]), (16,)).collect())) == want
+
+
 # 3
 
 
@@ -359,6 +407,33 @@ def test_language_rejects_what_has_no_letter(docs, odd):
     assert language.accepted(odd, model).columns == odd.columns
 
 
+def test_language_scores_equal_a_plain_version(docs):
+    model = language.fit(docs)
+    bits = int(model.table.shape[0]).bit_length() - 1
+    for text in ("Das ist ein Satz.", "a", "\u00e9t\u00e9 na\u00efve 12", "the cat AND the dog"):
+        blob = language.folded(text)
+        found = []
+        for n in language.ORDERS:  # every n-gram without an inner space, that isn't two spaces
+            for at in range(len(blob) - n + 1):
+                g = blob[at : at + n]
+                if b" " not in g[1:-1] and g != b"  " and not (g[0] == 32 and g[-1] == 32):
+                    h = (0x9E3779B1 * (n + 1)) & 0xFFFFFFFF
+                    for c in g:
+                        h = ((h ^ c) * 0x01000193) & 0xFFFFFFFF
+                    h ^= h >> 15
+                    found.append((h * 0x85EBCA6B & 0xFFFFFFFF) >> (32 - language.MET_BITS))
+        z = np.mean([model.table[f >> (language.MET_BITS - bits)] for f in found], axis=0, dtype=np.float64) + model.bias
+        p = np.exp(z / model.temperature - (z / model.temperature).max())
+        p /= p.sum()
+        langs, scores = language.predict([text], model)
+        assert langs == [model.languages[int(p.argmax())]]
+        assert scores[0] == pytest.approx(p.max() * np.mean([model.met[f] for f in found]), rel=1e-4)
+
+
+def test_language_temperature_is_inside_its_range(docs):
+    assert 2.0**-8 < language.fit(docs).temperature < 2.0**8
+
+
 ALPHABETS = ("abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцчшщъыьэюя", "αβγδεζηθικλμνξοπρστυφχψω", "".join(map(chr, range(0x4E00, 0x4E00 + 500))))
 
 
@@ -377,6 +452,20 @@ def test_language_rejects_what_was_not_learnt(docs):
 # 6
 
 
+def test_shards_prune_by_every_dimension(spark):
+    """Sorted by one dimension after the other, shards span the whole of the later ones; along the curve they span a part of each."""
+    rng = random.Random(9)
+    rows = [(i, f"https://example.org/{rng.choice('abcdefghij')}", rng.random(), rng.randint(0, 1000)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, url string, score double, n long")
+    m = sharding.manifest(sharding.hilbert_shards(df, ["url", "score", "n"], ["doc_id"], ["doc_id"])).collect()
+    share = lambda rs: [np.mean([(r[f"max_{d}"] - r[f"min_{d}"]) / w for r in rs]) for d, w in widths.items()]
+    widths = {d: max(r[f"max_{d}"] for r in m) - min(r[f"min_{d}"] for r in m) for d in ("dim_url", "dim_score", "dim_n")}
+    assert all(w > 0 for w in widths.values())
+    placed = sharding.hilbert_shards(df, ["url", "score", "n"], ["doc_id"], ["doc_id"]).orderBy("dim_url", "dim_score", "dim_n").collect()
+    plain = [{f"{f}_{d}": g(r[d] for r in part) for d in widths for f, g in (("min", min), ("max", max))} for part in (placed[k * 250 : (k + 1) * 250] for k in range(16))]
+    assert max(share(m)) < 0.8 and max(share(plain)) > 0.9
+
+
 def test_hilbert_curve_visits_neighbours():
     for dims, bits in ((2, 4), (3, 3)):
         points = np.array(np.meshgrid(*[np.arange(1 << bits)] * dims)).reshape(dims, -1).T
@@ -511,6 +600,12 @@ def test_random_parts_of_readable_runs_are_found():
     assert secrets.scan(names, secrets.VOCABULARY, 20, 2.2) == [[]] * len(names)
 
 
+def test_digests_are_known_by_what_names_them():
+    up = hashlib.sha1(b"x").hexdigest().upper()
+    texts = [f"SHA1: {up} ok", f"commit {up}", f"sha256={hashlib.sha256(b'y').hexdigest().upper()}", f"see {up} there", f"md5sum {up[:32]}"]
+    assert [[k for _, k, _ in s] for s in secrets.scan(texts, secrets.VOCABULARY, 20, 2.2)] == [[], [], [], [3], []]
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([(1, "a token=abcdefgh12 b", 3), (2, "clean", None), (3, None, 1)], "doc_id long, text string, mark int")
     assert [tuple(r) for r in secrets.without_secrets(df).orderBy("doc_id").collect()] == [(1, "a [secret] b", 3), (2, "clean", None), (3, None, 1)]
@@ -620,6 +715,28 @@ def test_deduplicated_rows_of_one_id(spark):
     assert sorted((r["doc_id"] or 0, r["node"]) for r in near_duplicates.deduplicated(df).collect()) == [(0, 3), (1, 1), (4, 4)]
 
 
+def test_repeated_and_null_ids_lose_no_text(spark):
+    words = [f"w{i}" for i in range(60)]
+    a, b = " ".join(words), " ".join(reversed(words))
+    near = lambda t, x: t.replace("w30", x)
+    rows = [(1, a), (1, b), (2, near(a, "x")), (3, near(b, "y")), (None, near(a, "z")), (None, "quite another text"), (None, "quite another  TEXT")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"] or 0, r["class_id"] or 0, r["n_texts"]) for r in near_duplicates.classes(df).collect())
+    assert got == [(0, 0, 1), (0, 0, 1), (0, 1, 3), (1, 1, 2), (1, 1, 3), (2, 1, 3), (3, 1, 2)]
+    kept = [(r["doc_id"], r["text"]) for r in near_duplicates.deduplicated(df).collect()]
+    assert Counter(kept) == Counter([(1, a), (1, b), *((d, t) for d, t in rows if d is None)])
+
+
+def test_sketches_pick_the_smallest(monkeypatch):
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 3, 50, 64, 65, 400):
+        kmers = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        m = min(near_duplicates.PICKED, n)
+        got = near_duplicates.smallest(kmers, 0, near_duplicates.SKETCHES, m)
+        v = (kmers[None, :] ^ near_duplicates.XOR[:, None]) * near_duplicates.ODD[:, None]
+        assert (got == np.sort(np.argsort(v, axis=1)[:, :m], axis=1)).all()
+
+
 # 10
 
 
@@ -666,6 +783,43 @@ def test_neighbours_odd_vectors(spark):
     assert neighbours.search(df.where("vec_id = 40")).collect() == []
 
 
+def test_neighbours_of_very_large_small_and_repeated_rows(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(60, 6))
+    x[:20] *= 1e-170
+    x[20:40] *= 1e150
+    rows = [(i, [float(a) for a in v]) for i, v in enumerate(x)] + [(20, [float(a) for a in x[21]])]
+    got = defaultdict(list)
+    for r in neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect():
+        got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+    assert sorted(got) == [0, 20, 40]
+    ids, all_ = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+    for q, found in got.items():
+        asks = [v.tobytes() for i, v in zip(ids, all_, strict=True) if i == q]
+        ask = np.frombuffer(min(asks), np.float64)
+        want = sorted((-float(v @ ask), int(i)) for i, v in zip(ids, all_, strict=True) if i != q)[:20]
+        assert [v for _, v, _ in sorted(found)] == [i for _, i in want]
+
+
+def test_scan_equals_brute_force_without_tests():
+    """With a test that never rejects, and all lists probed, the scan is exact; with the fitted one it reads less."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(12, 32))[rng.integers(0, 12, 3000)] + 0.3 * rng.normal(size=(3000, 32))
+    ids = np.arange(3000)
+    lists = neighbours.Lists(x, float(np.sqrt((x * x).mean(axis=1)).max()), 3000, 10, 0.95)
+    assert 0 < lists.probes < len(lists.centres)
+    asks = np.arange(0, 3000, 50)
+    every = np.ones((len(asks), 3000), np.bool_)
+    best = {int(q): set(np.argsort(-np.where(ids == q, -np.inf, x @ x[q]), kind="stable")[:10].tolist()) for q in asks}
+    for reject, least, most in ((1e9, 1.0, 1.01), (lists.reject, 0.95, 0.75)):
+        lists.reject = reject
+        read, hit = [], 0
+        for i, j, _ in neighbours.scan(lists, x[asks], np.full(len(asks), np.inf), asks, every, x, ids, 10, read):
+            hit += sum(int(b) in best[int(asks[a])] for a, b in zip(i, j, strict=True))
+        assert hit >= least * 10 * len(asks)
+        assert sum(a for a, _ in read) <= most * sum(b for _, b in read)
+
+
 def test_neighbours_with_one_very_common_vector(spark):
     rng = np.random.default_rng(2)
     same = [float(a) for a in rng.normal(size=8)]
