@@ -46,10 +46,10 @@ PICKED = 3
 SIMILARITY = 0.8
 SMALL = 16  # nodes of a bucket up to which all its open pairs are compared after the first leader
 ROUNDS = 3  # of leaders in larger buckets, at most, after the first
-HUB_BLOCK = 256  # nodes, about, that are compared with one copy of a leader's text
+HUB_BLOCK = 64  # nodes, about, that are compared with one copy of a leader's text
 BAG = 64  # counts of a text's words by hash, which bound the edit distance of many pairs at once
 ONE_TASK = 200_000  # edges that one task joins up, at most: a few MB
-OUTSIDE_BLOCK, ALL_BLOCK = 128, 512  # nodes, about, of either side of a block of the last comparison
+OUTSIDE_BLOCK, ALL_BLOCK = 64, 256  # nodes, about, of either side of a block of the last comparison
 _seeds = np.random.default_rng(9)
 XOR = _seeds.integers(0, 1 << 63, SKETCHES, dtype=np.uint64)
 ODD = _seeds.integers(0, 1 << 63, SKETCHES, dtype=np.uint64) * U(2) + U(1)
