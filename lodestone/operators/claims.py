@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 from ..functions import ids, text
 from ..schemas import CLAIM
+from .chunks import spans
 
 
 def claim_rows(spans: DataFrame, version: str) -> DataFrame:
@@ -34,16 +37,81 @@ def sentence_rows(chunks: DataFrame) -> DataFrame:
     return s.select(*SPINE, "chunk_text", "position", "s.text", "s.start_char", "s.end_char")
 
 
+KEPT, KEPT_CHARS = 1 << 15, 500  # sentences whose results a task keeps, and the longest of them
+
+
+def by_sentence(make: Callable[[], Callable[[str], Sequence[tuple]]], fields: str) -> Callable[[Column], Column]:
+    """Of a text an array with a struct (position, start_char, end_char, then fields) for each tuple that make()'s function gives for each of its sentences.
+
+    Tuples begin with start and end within the sentence. Only texts go to Python, in Arrow batches. A short sentence
+    that a task meets again isn't looked at again.
+    """
+    out = StructType.fromDDL(f"position int, start_char int, end_char int, {fields}")
+    held: dict = {}
+
+    def run(texts: pa.Array) -> pa.Array:
+        if "f" not in held:
+            held["f"] = make()
+            held["known"] = lru_cache(KEPT)(lambda sentence: tuple(held["f"](sentence)))
+        f, known = held["f"], held["known"]
+        rows: list[tuple] = []
+        offsets = [0]
+        for body in texts.to_pylist():
+            if body and not body.isspace():
+                for position, (at, end) in enumerate(spans(body, "scanner")):
+                    for a, b, *rest in (known if end - at <= KEPT_CHARS else f)(body[at:end]):
+                        rows.append((position, at + a, at + b, *rest))
+            offsets.append(len(rows))
+        kinds = to_arrow_schema(out)
+        columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
+        values = pa.StructArray.from_arrays([pa.array(c, k.type) for c, k in zip(columns, kinds, strict=True)], fields=list(kinds))
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+
+    run.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, ArrayType(out))
+
+
+class Scorer:
+    """`text.scored_sentences` of one sentence, in Python."""
+
+    def __init__(self, weights: Sequence[float] = (1.0, 0.8, 0.6, 0.3), modality: Sequence[str] = text.MODALITY, causal: Sequence[str] = text.CAUSAL, attribution: Sequence[str] = text.ATTRIBUTION):
+        self.weights, self.lexicons = weights, (modality, causal, attribution)
+        self.quantity, self.numbered = (re.compile(p.replace("(?iU)", "(?i)")) for p in (text.QUANTITY, text.NUMBERED_HEADING))
+
+    def skippable(self, sentence: str) -> bool:
+        n = " ".join(sentence.split())
+        bare = n.rstrip(".:;,-")
+        quoted = len(bare) >= 2 and any(bare.startswith(x) and bare.endswith(y) for x, y in text.QUOTES)
+        return n.endswith((":", ":.")) or "|" in n or n.startswith(">") or n.lower().rstrip(".:;,-") in text.HEADINGS or quoted or self.numbered.search(n) is not None
+
+    def __call__(self, sentence: str):
+        low = sentence.lower()
+        modality, causal, attribution = (any(p in low for p in phrases) for phrases in self.lexicons)
+        found = {"modality": modality, "quantity": self.quantity.search(sentence) is not None, "causal": causal, "attribution": attribution}
+        score = 0.0
+        for has, w in zip(found.values(), self.weights, strict=True):
+            score += w if has else 0.0
+        yield 0, len(sentence), sentence, self.skippable(sentence), found, score
+
+
+SCORED = "text string, skipped boolean, cues struct<modality: boolean, quantity: boolean, causal: boolean, attribution: boolean>, score double"
+
+
 def scored_rows(chunks: DataFrame, **options) -> DataFrame:
     """sentence_rows with skipped, cues and score, each computed once."""
-    s = chunks.select(*SPINE, F.posexplode(text.scored_sentences(F.col("chunk_text"), **options)).alias("position", "s"))
-    return s.select(*SPINE, "position", "s.*")
+    scored = by_sentence(lambda: Scorer(**options), SCORED)
+    return chunks.select(*SPINE, F.explode(scored(F.col("chunk_text"))).alias("s")).select(*SPINE, "s.*")
 
 
 def rule_claims(chunks: DataFrame, threshold: float = 0.8, weights: Sequence[float] = (1.0, 0.8, 0.6, 0.3), version: str = "rules-v1", **lexicons) -> DataFrame:
-    """Sentences whose cues' weights reach the threshold; the score, at most 1, is the confidence. One claim a sentence; JVM only."""
-    hits = scored_rows(chunks, weights=weights, **lexicons).where(~F.col("skipped") & (F.col("score") >= threshold))
-    return claim_rows(hits.select(*SPINE, "start_char", "end_char", F.col("text").alias("evidence_text"), F.least(F.lit(1.0), "score").alias("confidence")), version)
+    """Sentences whose cues' weights reach the threshold; the score, at most 1, is the confidence. One claim a sentence."""
+
+    def make():
+        scorer = Scorer(weights=weights, **lexicons)
+        return lambda sentence: [(a, b, s, min(1.0, score)) for a, b, s, skipped, _, score in scorer(sentence) if not skipped and score >= threshold]
+
+    hits = by_sentence(make, "evidence_text string, confidence double")
+    return claim_rows(chunks.select(*SPINE, F.explode(hits(F.col("chunk_text"))).alias("s")).select(*SPINE, "s.*"), version)
 
 
 def score_breakdown(chunks: DataFrame) -> DataFrame:

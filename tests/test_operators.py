@@ -294,6 +294,30 @@ def test_token_model(spark):
     assert len(got) == 6 and {(r["start_char"], r["end_char"]) for r in got} == {(0, 20)}
 
 
+def test_sentences_by_batch_equal_the_expressions(spark):
+    odd = [*SENTENCES, "Costs must rise by 5%x. It leads to 3 kt! Table 3: x. 'Quoted.' > cited. a | b. References. It STATES that $5.", "It must. " * 40, "Fig. 2 - 4:", "a\x0bb\u3000must.\x1c É 3,5 MT", "w" * 600 + " must 5 tons"]
+    c = chunk_df(spark, *odd).unionByName(chunk_df(spark, "x").withColumn("chunk_text", F.lit(None).cast("string")))
+    s = c.select("chunk_id", F.posexplode(text.scored_sentences(F.col("chunk_text"))).alias("position", "s"))
+    columns = ("chunk_id", "position", "text", "start_char", "end_char", "skipped", "cues", "score")
+    assert sorted(claims.scored_rows(c).select(*columns).collect()) == sorted(s.select("chunk_id", "position", "s.*").select(*columns).collect())
+
+
+def test_a_sentence_met_again_is_kept(spark):
+    """Each distinct short sentence is looked at once in a task, wherever it stands."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def make():
+        def f(sentence):
+            seen.add(1)
+            return [(0, len(sentence), sentence)]
+
+        return f
+
+    df = spark.createDataFrame([("One. Two.",)] * 50 + [(None,), (" ",)], "t string").coalesce(1)
+    rows = df.select(F.explode(claims.by_sentence(make, "x string")(F.col("t"))).alias("s")).select("s.*").collect()
+    assert sorted(set(map(tuple, rows))) == [(0, 0, 4, "One."), (1, 5, 9, "Two.")] and len(rows) == 100 and seen.value == 2
+
+
 # Acquisition and sources
 
 
