@@ -49,12 +49,30 @@ def rounded(c: Column, digits: int = 6) -> Column:
     return F.round(c, digits)
 
 
+ANSWERS = 20_000  # distinct answers up to which they are sent to every task
+
+
+def small(rows: DataFrame) -> DataFrame:
+    """Rows kept once, and broadcast by what joins them if they are few."""
+    kept = rows.persist()
+    return F.broadcast(kept) if kept.limit(ANSWERS + 1).count() <= ANSWERS else kept
+
+
+ASKED = ["normalized_mention_text", "entity_type"]
+
+
 def retrieved(mentions: DataFrame, catalog: DataFrame, k: int = 5, vectors: DataFrame | None = None, lexical_weight: float = 0.6, vector_weight: float = 0.4, bonus: float = 0.1) -> DataFrame:
-    """For each mention (entity_id, normalized_mention_text, entity_type) its k best catalog rows with fused, lexical and vector scores and rank.
+    """For each mention (entity_id, normalized_mention_text, entity_type) its k best catalog rows with fused, lexical and vector scores and rank."""
+    top = best_rows(mentions.select(*ASKED).distinct(), catalog, k, vectors, lexical_weight, vector_weight, bonus)
+    return mentions.select("entity_id", *ASKED).join(small(top), ASKED).drop(*ASKED)
+
+
+def best_rows(asked: DataFrame, catalog: DataFrame, k: int = 5, vectors: DataFrame | None = None, lexical_weight: float = 0.6, vector_weight: float = 0.4, bonus: float = 0.1) -> DataFrame:
+    """For each row of asked (normalized_mention_text and entity_type, distinct) its k best catalog rows.
 
     Every catalog row has a score, if only its type's bonus, but few share a token with a mention. Tokens are joined by
-    hash and counted; what shares none ties, so for each type the first k keys stand for the rest. No pair of mention
-    and catalog row is made that isn't one of these. Distinct mentions are scored once.
+    hash and counted; what shares none ties, so for each type the first k keys stand for the rest. Rows of equal
+    tokens and type have one score, so they meet the mentions as one class with its k smallest keys.
     """
     if k <= 0:
         raise ValueError("top_k must be positive")
@@ -64,27 +82,36 @@ def retrieved(mentions: DataFrame, catalog: DataFrame, k: int = 5, vectors: Data
         rows = rows.join(vectors.select("canonical_entity_key", F.array_distinct("tokens").alias("vec")), "canonical_entity_key", "left").withColumn("vec", F.coalesce("vec", "row_tokens"))
     else:
         rows = rows.withColumn("vec", F.col("row_tokens"))
-    asked = mentions.select(F.col("normalized_mention_text").alias("asked"), F.col("entity_type").alias("asked_type")).distinct().withColumn("asked_tokens", text.catalog_tokens(F.col("asked")))
-    asked = asked.withColumn("n", F.size("asked_tokens"))
+    alike = ["row_tokens", "vec", "row_type"]
+    member = F.struct("canonical_entity_key", "canonical_name")
+    # k keys of a class at a time: rows are dealt into parts first, so that no list holds a whole class
+    part = rows.withColumn("_p", F.spark_partition_id())
+    place = F.row_number().over(Window.partitionBy(*alike, "_p").orderBy("canonical_entity_key"))
+    few = part.withColumn("_n", place).where(F.col("_n") <= k)
+    first_k = few.groupBy(*alike).agg(F.slice(F.array_sort(F.collect_list(member)), 1, k).alias("members"))
+    classes = first_k.withColumn("key", F.get("members", F.lit(0))["canonical_entity_key"]).persist()
+    asked = asked.select(F.col("normalized_mention_text").alias("asked"), F.col("entity_type").alias("asked_type")).withColumn("asked_tokens", text.catalog_tokens(F.col("asked"))).withColumn("n", F.size("asked_tokens")).persist()
     # a posting says in which of the two lists its token is, so that one count gives both intersections
     token = F.explode(F.transform(F.array_union("row_tokens", "vec"), lambda t: F.struct(t.alias("token"), F.array_contains("row_tokens", t).cast("int").alias("lex"), F.array_contains("vec", t).cast("int").alias("vec")))).alias("t")
-    postings = rows.select("canonical_entity_key", token).select("canonical_entity_key", "t.*")
-    keys = ["asked", "asked_type", "n", "canonical_entity_key"]
+    postings = classes.select("key", token).select("key", "t.*")
+    keys = ["asked", "asked_type", "n", "key"]
     hits = asked.select("asked", "asked_type", "n", F.explode("asked_tokens").alias("token")).join(postings, "token").select(*keys, "lex", "vec")
-    first = Window.partitionBy("row_type").orderBy("canonical_entity_key")
-    tail = rows.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= 2 * k).select("canonical_entity_key", "row_type")
-    heads = tail.groupBy().agg(F.array_sort(F.collect_list("canonical_entity_key")).alias("keys"))  # 2k rows a type
-    rest = asked.select("asked", "asked_type", "n").join(F.broadcast(heads), F.lit(True)).select("asked", "asked_type", "n", F.explode("keys").alias("canonical_entity_key"), F.lit(0).alias("lex"), F.lit(0).alias("vec"))
+    first = Window.partitionBy("row_type").orderBy("key")
+    tail = classes.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= 2 * k).select("key", "row_type")
+    heads = tail.groupBy().agg(F.array_sort(F.collect_list("key")).alias("keys"))  # 2k classes a type
+    rest = asked.select("asked", "asked_type", "n").join(F.broadcast(heads), F.lit(True)).select("asked", "asked_type", "n", F.explode("keys").alias("key"), F.lit(0).alias("lex"), F.lit(0).alias("vec"))
     shared = hits.unionByName(rest).groupBy(*keys).agg(F.sum("lex").alias("lex"), F.sum("vec").alias("vec"))
-    sizes = rows.select("canonical_entity_key", "canonical_name", "row_type", F.size("row_tokens").alias("n_lex"), F.size("vec").alias("n_vec"))
+    sizes = classes.select("key", "row_type", F.size("row_tokens").alias("n_lex"), F.size("vec").alias("n_vec"))
     share = lambda both, m: F.when((F.col("n") == 0) | (F.col(m) == 0), 0.0).otherwise(F.col(both) / (F.col("n") + F.col(m) - F.col(both)))
-    scored = shared.join(sizes, "canonical_entity_key").withColumn("vecs", share("vec", "n_vec")).withColumn("lex", share("lex", "n_lex"))
+    scored = shared.join(sizes, "key").withColumn("vecs", share("vec", "n_vec")).withColumn("lex", share("lex", "n_lex"))
     fused = F.least(F.lit(1.0), lexical_weight * F.col("lex") + vector_weight * F.col("vecs") + F.when(F.col("row_type") == F.col("asked_type"), bonus).otherwise(0.0))
-    scored = scored.select("asked", "asked_type", "canonical_entity_key", "canonical_name", F.col("row_type").alias("candidate_type"), rounded(fused).alias("fused_score"), rounded(F.col("lex")).alias("lexical_score"), rounded(F.col("vecs")).alias("vector_score"))
-    best = Window.partitionBy("asked", "asked_type").orderBy(F.desc("fused_score"), F.desc("lexical_score"), F.desc("vector_score"), "canonical_entity_key")
-    top = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    m = mentions.select("entity_id", F.col("normalized_mention_text").alias("asked"), F.col("entity_type").alias("asked_type"))
-    return m.join(top, ["asked", "asked_type"]).drop("asked", "asked_type")
+    scored = scored.select("asked", "asked_type", "key", F.col("row_type").alias("candidate_type"), rounded(fused).alias("fused_score"), rounded(F.col("lex")).alias("lexical_score"), rounded(F.col("vecs")).alias("vector_score"))
+    best = lambda key: Window.partitionBy("asked", "asked_type").orderBy(F.desc("fused_score"), F.desc("lexical_score"), F.desc("vector_score"), key)
+    # the k best rows are among the k best classes, which begin with their smallest keys
+    some = scored.withColumn("rank", F.row_number().over(best("key"))).where(F.col("rank") <= k)
+    each = some.join(classes.select("key", "members"), "key").select("*", F.explode("members").alias("m")).select(*(c for c in scored.columns if c != "key"), "m.*")
+    top = each.withColumn("rank", F.row_number().over(best("canonical_entity_key"))).where(F.col("rank") <= k)
+    return top.select(F.col("asked").alias("normalized_mention_text"), F.col("asked_type").alias("entity_type"), "canonical_entity_key", "canonical_name", "candidate_type", "fused_score", "lexical_score", "vector_score", "rank")
 
 
 def judged(mentions: DataFrame, candidates: DataFrame, linked: float = 0.85, review: float = 0.60) -> DataFrame:
@@ -118,9 +145,12 @@ def judged(mentions: DataFrame, candidates: DataFrame, linked: float = 0.85, rev
 
 def resolved(mentions: DataFrame, catalog: DataFrame, k: int = 5, vectors: DataFrame | None = None, linked: float = 0.85, review: float = 0.60) -> DataFrame:
     """The mentions with their decisions in the metadata; the catalog's key is taken over only where the decision is to link."""
-    d = judged(mentions, retrieved(mentions, catalog, k, vectors), linked, review)
     fields = ("decision_status", "decision_score", "reason_codes", "selected_candidate_key", "top_candidates")
-    joined = mentions.join(d, "entity_id")
+    keys = [*ASKED, "confidence"]  # a decision depends on these alone
+    one = mentions.select(*keys).distinct().withColumn("entity_id", F.to_json(F.struct(*keys))).persist()
+    d = judged(one, retrieved(one, catalog, k, vectors), linked, review)
+    decided = one.join(d, "entity_id").select(*(F.col(c).alias(f"_{c}") for c in keys), *fields)
+    joined = mentions.join(small(decided), F.col("normalized_mention_text").eqNullSafe(F.col("_normalized_mention_text")) & F.col("entity_type").eqNullSafe(F.col("_entity_type")) & F.col("confidence").eqNullSafe(F.col("_confidence")))
     meta = F.struct(*(F.col(f"metadata.{f}").alias(f) for f in ("channel", "spacy_label", "coref_canonical")), *(F.col(f) for f in fields))
     key = F.when(F.col("decision_status") == "linked", F.col("selected_candidate_key")).otherwise(F.col("canonical_entity_key"))
     return joined.withColumn("metadata", meta).withColumn("canonical_entity_key", key).select(*mentions.columns)

@@ -142,10 +142,8 @@ best AS (SELECT *, row_number() OVER (PARTITION BY mention_text, entity_type ORD
 @query(JACCARD_SQL + " SELECT mention_text, entity_type, rank::INTEGER AS rank, canonical_entity_key, round(j, 4) AS score FROM best")
 def jaccard_topk(spark, sf):
     """The three catalog rows of the largest token Jaccard of every distinct mention: the fused score with one weight alone."""
-    m = asked_mentions(spark, sf)
-    one = m.groupBy("normalized_mention_text", "entity_type").agg(F.min("entity_id").alias("entity_id"))
-    r = cat.retrieved(one, corpus.catalog(spark, sf), 3, lexical_weight=1.0, vector_weight=0.0, bonus=0.0)
-    return r.join(one.select("entity_id", F.col("normalized_mention_text").alias("mention_text"), "entity_type"), "entity_id").select("mention_text", "entity_type", "rank", "canonical_entity_key", F.round("fused_score", 4).alias("score"))
+    r = cat.best_rows(asked_mentions(spark, sf).select(*cat.ASKED).distinct(), corpus.catalog(spark, sf), 3, lexical_weight=1.0, vector_weight=0.0, bonus=0.0)
+    return r.select(F.col("normalized_mention_text").alias("mention_text"), "entity_type", "rank", "canonical_entity_key", F.round("fused_score", 4).alias("score"))
 
 
 @query(with_chunks() + " SELECT 'source_id' AS figure, 0::BIGINT AS only_claims, 0::BIGINT AS only_entities UNION ALL SELECT 'document_checksum', count(DISTINCT document_checksum) FILTER (length(source_document_id) % 2 = 0)::BIGINT, 0::BIGINT FROM chunks")

@@ -318,6 +318,24 @@ def test_a_sentence_met_again_is_kept(spark):
     assert sorted(set(map(tuple, rows))) == [(0, 0, 4, "One."), (1, 5, 9, "Two.")] and len(rows) == 100 and seen.value == 2
 
 
+def test_alike_catalog_rows_meet_mentions_as_one_class(spark, sf_dir):
+    """The best rows are those of all pairs, whatever the copies, and no mention is stored for it."""
+    from lodestone.queries.catalogue import asked_mentions
+
+    rows = [(f"k{i:03d}", ("Green Act", "Blue Act", "Red Plan")[i % 3], ("POLICY", "ORG")[i % 2], [f"a{i % 4}"]) for i in range(99, -1, -1)]
+    asked = [("Green Act", "POLICY"), ("Blue a1", "ORG"), ("none", "PERSON")]
+    got = catalog.best_rows(spark.createDataFrame(asked, "normalized_mention_text string, entity_type string"), spark.createDataFrame(rows, CATALOG).repartition(5), 4)
+    want = set()
+    for name, kind in asked:
+        q, scored = set(name.lower().split()), []
+        for key, canonical_name, row_kind, (alias,) in rows:
+            t = {*canonical_name.lower().split(), alias}
+            scored.append((-round(min(1.0, len(q & t) / len(q | t) + 0.1 * (kind == row_kind)), 6), key))
+        want |= {(name, kind, key, rank, -f) for rank, (f, key) in enumerate(sorted(scored)[:4], 1)}
+    assert {(r["normalized_mention_text"], r["entity_type"], r["canonical_entity_key"], r["rank"], r["fused_score"]) for r in got.collect()} == want
+    assert not asked_mentions(spark, sf_dir).storageLevel.useMemory
+
+
 # Acquisition and sources
 
 
