@@ -336,6 +336,15 @@ def test_alike_catalog_rows_meet_mentions_as_one_class(spark, sf_dir):
     assert not asked_mentions(spark, sf_dir).storageLevel.useMemory
 
 
+def test_the_graph_is_kept_without_properties(spark, sf_dir):
+    from lodestone.queries import catalogue
+
+    whole, slim = catalogue.full_graph(spark, sf_dir), catalogue.slim_graph(spark, sf_dir)
+    assert not any(x.storageLevel.useMemory for x in (whole.nodes, whole.edges)) and all(x.storageLevel.useMemory for x in (slim.nodes, slim.edges))
+    assert "properties" not in slim.nodes.columns + slim.edges.columns and slim.nodes.count() == whole.nodes.count()
+    spark.catalog.clearCache()
+
+
 # Acquisition and sources
 
 
