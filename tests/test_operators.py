@@ -345,6 +345,18 @@ def test_the_graph_is_kept_without_properties(spark, sf_dir):
     spark.catalog.clearCache()
 
 
+def test_tokens_meet_their_neighbours_without_a_shuffle(spark):
+    t = spans.token_rows(chunk_df(spark, "A b. C", "x"), "chunk_id", "chunk_text")
+    assert "Window" not in t._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r) for r in t.orderBy("chunk_id", "position").select("token", "previous", "following").collect()] == [("A", "<START>", "b"), ("b", "a", "."), (".", "b", "c"), ("C", ".", "<END>"), ("x", "<START>", "<END>")]
+
+
+def test_chunks_are_made_of_few_documents_at_a_time(spark):
+    assert chunks.SLICE <= 64
+    v = spark.createDataFrame([("s", f"d{i}", "c", f"Text {i}. More.") for i in range(300)], "source_id string, source_document_id string, checksum string, normalized_text string").coalesce(1)
+    assert sorted(r["source_document_id"] for r in chunks.chunked(v).collect()) == sorted(f"d{i}" for i in range(300))
+
+
 # Acquisition and sources
 
 
