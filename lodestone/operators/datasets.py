@@ -168,6 +168,14 @@ def silver_entity_rows(chunks: DataFrame, mentions: DataFrame) -> DataFrame:
     return out.withColumn("silver_entities", F.coalesce("silver_entities", F.array().cast("array<struct<start_char:int,end_char:int,mention_text:string,entity_type:string>>")))
 
 
+def silver_entities_beside(chunks: DataFrame, found: Column) -> DataFrame:
+    """`silver_entity_rows` of mentions that stand beside their chunk (found: an array of spans): nothing is joined."""
+    valid = F.filter("found", lambda m: m["entity_type"].isin(*ENTITY_TYPES))
+    row = lambda m: F.struct(*(m[c].alias(c) for c in ("start_char", "end_char", "mention_text", "entity_type")))
+    rest = [c for c in chunks.columns if c not in ("start_char", "end_char")]
+    return chunks.select(*rest, found.alias("found")).select(*rest, F.array_sort(F.transform(valid, row)).alias("silver_entities"))
+
+
 def gold_scaffold(chunks: DataFrame, n: int, seed: int | str = 42) -> DataFrame:
     """n sampled chunks with empty labels, for annotators."""
     return sample(chunks, "chunk_id", n, seed).withColumn("gold_entities", F.array().cast("array<struct<start_char:int,end_char:int,entity_type:string,mention_text:string>>"))

@@ -607,6 +607,57 @@ def test_extension_points():
         ports.JUDGES["none"]
 
 
+BESIDE = ("The Green Act must reduce costs by 3 million. Dr Ada Stone of the Reef Institute argues that Victoria needs the Green Plan.", "Prices rose by $5. The Blue Council and the Blue Council must act!", "Nothing here", "", "The Green Act must reduce costs by 3 million. Dr Ada Stone of the Reef Institute argues that Victoria needs the Green Plan.")
+
+
+def rows_of(df):
+    return sorted(map(str, df.collect()))
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_links_beside_equal_joined_ones(spark):
+    c = chunk_df(spark, *BESIDE)
+    status = lambda t: F.when(t == "POLICY", "needs_review").otherwise("linked")
+    m = entities.rule_mentions(c)
+    cl, ce = claims.rule_claims(c), canonical.canonical_entities(m).withColumn("decision_status", status(F.col("entity_type")))
+    rows = canonical.beside(c, lambda x: status(x["entity_type"]))
+    links = claims.each(canonical.claims_beside(rows), F.col("links"), "claim_id", name="x").select("claim_id", "x.entity_id", "x.canonical_entity_key", "x.decision_status", "x.link_method")
+    want = canonical.claim_links(cl, ce).select("claim_id", "entity_id", "canonical_entity_key", "decision_status", "link_method")
+    assert rows_of(links) == rows_of(want) and want.count() >= 4 and exchanges(links) == 0
+    assert rows_of(graph.counts_beside(rows)) == rows_of(graph.evidence_counts(canonical.canonical_claims(cl, ce), ce))
+
+
+def test_rows_beside_equal_joined_ones(spark):
+    c = chunk_df(spark, *BESIDE)
+    m, cl = entities.rule_mentions(c), claims.rule_claims(c)
+    found = entities.rule_spans()(F.col("chunk_text"))
+    assert rows_of(entities.type_counts_beside(c, found)) == rows_of(entities.type_counts(m, c)) and exchanges(entities.type_counts_beside(c, found)) == 0
+    got, want = datasets.silver_entities_beside(c, found), datasets.silver_entity_rows(c, m)
+    assert rows_of(got) == rows_of(want.select(*got.columns)) and exchanges(got) == 0
+    stored = claims.rule_claims(c.where("chunk_index = 0"))
+    assert rows_of(claims.report_beside(c, claims.rule_spans()(F.col("chunk_text")), stored)) == rows_of(claims.report(c, cl, stored))
+    tags = claims.each(c, entities.gold_tags(("POLICY", "ORG"))(F.col("chunk_text")), "chunk_id").select("chunk_id", "s.start_char", "s.end_char", "s.tag")
+    spans_ = m.where("entity_type IN ('POLICY', 'ORG')").select("chunk_id", "start_char", "end_char")
+    joined = spans.bio_tags(spans.token_rows(c, "chunk_id", "chunk_text"), spans_, "chunk_id").where("tag <> 'O'").select("chunk_id", "start_char", "end_char", "tag")
+    assert rows_of(tags) == rows_of(joined) and joined.count() > 8 and exchanges(tags) == 0
+
+
+def test_ensemble_without_shuffle_equals_merged_channels(spark):
+    c = chunk_df(spark, *BESIDE)
+    rules = entities.EntityRules(version="e-rule")
+    want = entities.merged_mentions({"gazetteer": entities.gazetteer_mentions(c, "e-gazetteer"), "rule": entities.rule_mentions(c, rules)}, "e")
+    got = entities.ensemble_mentions(c, version="e")
+    assert rows_of(got) == rows_of(want) and want.count() > 8 and exchanges(got) == 0
+
+
+def test_sentences_are_looked_at_once(spark):
+    plan = entities.rule_mentions(chunk_df(spark, *BESIDE))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_languages_without_sentences_have_no_row(spark, tmp_path):
     from lodestone.queries.catalogue import QUERIES
 
